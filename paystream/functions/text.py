@@ -37,7 +37,10 @@ def is_single_json(text: Column, parsed: Column) -> Column:
     element means one value. With a ``]`` a second reading inside an object decides: no trailing
     text closes both an array and an object.
     """
-    lone = F.variant_get(parsed, "$[1]", "variant").isNull()
+    lone = (
+        F.variant_get(parsed, "$[0]", "variant").isNotNull()
+        & F.variant_get(parsed, "$[1]", "variant").isNull()
+    )
     in_object = F.json_object_keys(F.concat(F.lit('{"w":'), text, F.lit("}")))
     return parsed.isNotNull() & F.when(
         F.contains(text, F.lit("]")), in_object.isNotNull()

@@ -57,6 +57,9 @@ def _successors(points: DataFrame, key: str, horizon: int) -> DataFrame:
     million), then, if that second has none, the start of the next second that has one.
     """
     second = 1_000_000
+    def start_of(at: str) -> Column:
+        return F.col(at) - F.pmod(F.col(at), F.lit(second))
+
     rows = points.select(
         key, F.col("t").alias("at"), F.lit(None).cast("long").alias("origin"),
         F.col("t").alias("row_t"),
@@ -65,7 +68,7 @@ def _successors(points: DataFrame, key: str, horizon: int) -> DataFrame:
         key, (F.col("t") + horizon).alias("at"), F.col("t").alias("origin"),
         F.lit(None).cast("long").alias("row_t"),
     )
-    both = rows.unionByName(probes).withColumn("sec", F.floor(F.col("at") / second))
+    both = rows.unionByName(probes).withColumn("sec", start_of("at"))
     # From late to early, the last row seen is the nearest one at or after the probe; the frame
     # includes rows with the same time.
     inside = (
@@ -104,12 +107,10 @@ def deduplicate_within(
     """
     ensure_checkpoint_dir(events.sparkSession)
     horizon = horizon_seconds * 1_000_000
-    unique = first_per(
-        events.withColumn("_t", F.unix_micros(ts)), [key, "_t"]
+    timed = events.withColumn("_t", F.unix_micros(ts))
+    points = timed.select(key, F.col("_t").alias("t")).distinct().withColumn(
+        "cell", F.col("t") - F.pmod(F.col("t"), F.lit(horizon))
     ).checkpoint()
-    points = unique.select(
-        key, F.col("_t").alias("t"), F.floor(F.col("_t") / horizon).alias("cell")
-    )
     runs = _sessions(points, key, horizon).checkpoint()
     kept = runs.filter("low = first").select(key, F.col("first").alias("t"))
 
@@ -139,6 +140,9 @@ def deduplicate_within(
         kept = kept.unionByName(
             reached.select(F.col(f"chain.{key}").alias(key), "t")
         ).distinct()
-    return unique.join(
-        kept.withColumnRenamed("t", "_t"), [key, "_t"], "left_semi"
-    ).drop("_t").select(*events.columns)
+    # Both sides end up partitioned by id and time, so the join adds no shuffle of the events.
+    return (
+        first_per(timed, [key, "_t"])
+        .join(kept.withColumnRenamed("t", "_t"), [key, "_t"], "left_semi")
+        .select(*events.columns)
+    )

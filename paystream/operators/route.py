@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paystream.config import COUNTED_STATUS
@@ -30,21 +30,26 @@ def split_records(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     return confirmed(valid_events(checked)), invalid_events(checked)
 
 
-def dead_letters(invalid: DataFrame) -> DataFrame:
-    """Invalid records as key and JSON value of the dead-letter log, plus their origin.
+def _letter_key() -> Column:
+    """The event id if there is a usable one, else empty, never null."""
+    return F.coalesce("event_id", F.lit("")).cast("binary")
 
-    The key is the event id if there is a usable one, else empty, never null. ``raw_data`` is the
-    event as an object, or the readable text of a value that is none.
-    """
+
+def _letter_value() -> Column:
+    """``errors`` and ``raw_data``: the event as an object, or readable text if it is none."""
     value = value_or_empty(F.col("value"))
     undecoded = F.get("errors", F.lit(0)).isin(BAD_ENCODING, BAD_JSON, NO_OBJECT)
     raw = F.when(undecoded, readable(value).cast("variant")).otherwise(
         F.try_parse_json(as_text(value))
     )
-    letter = F.struct(F.col("errors"), raw.alias("raw_data"))
+    return F.to_json(F.struct(F.col("errors"), raw.alias("raw_data"))).cast("binary")
+
+
+def dead_letters(invalid: DataFrame) -> DataFrame:
+    """Invalid records as key and JSON value of the dead-letter log, plus their origin."""
     return invalid.select(
-        F.coalesce("event_id", F.lit("")).cast("binary").alias("key"),
-        F.to_json(letter).cast("binary").alias("value"),
+        _letter_key().alias("key"),
+        _letter_value().alias("value"),
         F.col("partition").alias("source_partition"),
         F.col("offset").alias("source_offset"),
     )
@@ -54,16 +59,13 @@ def routed_log(checked: DataFrame, confirmed_topic: str, dead_letter_topic: str)
     """Both outputs of one parse as records with a ``topic`` column, for one writer.
 
     The Kafka writer sends each row to the topic it names and the file writer can partition by
-    it, so a stream splits valid from invalid without reading or parsing anything twice.
-    Events that are valid but do not count are left out.
+    it, so valid and invalid records part without reading or parsing anything twice. Valid
+    events that do not count are left out.
     """
-    counted = F.size("errors") == 0
-    letters = dead_letters(checked.filter(~counted)).select(
-        "key", "value", F.lit(dead_letter_topic).alias("topic")
-    )
-    events = confirmed(checked.filter(counted)).select(
-        F.col("event_key").cast("binary").alias("key"),
-        "value",
-        F.lit(confirmed_topic).alias("topic"),
+    bad = F.size("errors") > 0
+    counts = F.col("status") == COUNTED_STATUS
+    return checked.filter(bad | counts).select(
+        F.when(bad, _letter_key()).otherwise(F.col("event_key").cast("binary")).alias("key"),
+        F.when(bad, _letter_value()).otherwise(F.col("value")).alias("value"),
+        F.when(bad, F.lit(dead_letter_topic)).otherwise(F.lit(confirmed_topic)).alias("topic"),
     )
-    return events.unionByName(letters)

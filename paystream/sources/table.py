@@ -20,7 +20,7 @@ TABLE_NAME = "merchant_window_aggregates"
 def create_table(spark: SparkSession, path: str) -> None:
     """Make an empty table where there is none; an existing one is left alone."""
     empty = spark.createDataFrame([], VERSIONS).drop("run", "batch_id", "window_date")
-    empty.write.mode("ignore").parquet(path)
+    store_versions(empty, path, "created", 0)
 
 
 def checked_rows(records: DataFrame) -> DataFrame:
@@ -28,7 +28,7 @@ def checked_rows(records: DataFrame) -> DataFrame:
     where = F.concat_ws("/", "topic", "partition", "offset")
     refused = F.raise_error(F.concat(F.lit("aggregate refused: "), "error", F.lit(" at "), where))
     key = F.when(F.col("error").isNull(), F.col("aggregate_key")).otherwise(refused)
-    return check_aggregates(records.select("*")).select(
+    return check_aggregates(records).select(
         key.alias("aggregate_key"), *AGGREGATE_COLUMNS[1:], F.col("offset").alias("version")
     )
 
@@ -52,7 +52,7 @@ def materialize(records: DataFrame, path: str, run: str, batch_id: int) -> None:
 
 
 def stored_versions(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(VERSIONS).parquet(path).filter("aggregate_key IS NOT NULL")
+    return spark.read.schema(VERSIONS).parquet(path)
 
 
 def current_rows(spark: SparkSession, path: str) -> DataFrame:
