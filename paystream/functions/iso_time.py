@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # The shape nearly all writers use, which Spark's own cast reads exactly ...
 _COMMON = (
-    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?"
+    r"^(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?"
     r"(Z|[+-]0[0-9]:[0-5][0-9]|[+-]1[0-7]:[0-5][0-9])$"
 )
 # ... and every other form: calendar or week date, extended or basic, any one separator,

@@ -7,10 +7,12 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# UTC instants; the last of several equal JSON keys counts.
+# UTC instants; the last of several equal JSON keys counts; generated methods too long for the
+# JVM to compile (8000 bytes) are not fused into one but evaluated in parts.
 SQL_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.variant.allowDuplicateKeys": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 STREAM_CONF = {
@@ -23,6 +25,8 @@ STREAM_CONF = {
 
 def builder(app_name: str = "paystream") -> SparkSession.Builder:
     out = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    # Python workers turn timestamps into local time and back; UTC has no ambiguous hours.
+    out = out.config("spark.executorEnv.TZ", "UTC")
     for key, value in {**SQL_CONF, **STREAM_CONF}.items():
         out = out.config(key, value)
     return out

@@ -49,6 +49,15 @@ def read_log(
     return reader.parquet(path)
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Distribute an input of fewer splits than there are cores; leave any larger one alone.
+
+    Parsing is by far the dearest step, and a file of a few megabytes is read by a single task.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def bounded(log: DataFrame, records: int | None) -> DataFrame:
     """The first ``records`` records by partition and offset, for a trial run; None for all."""
     return log if records is None else log.orderBy("partition", "offset").limit(records)
@@ -64,6 +73,22 @@ def keyed_records(events: DataFrame, key: str = "key") -> DataFrame:
     )
 
 
+def stamped(records: DataFrame, topic: str, partitions: int = 3) -> DataFrame:
+    """Key and value as full records of a file log, where no broker numbers them.
+
+    All versions of a key share a partition; the offset is the time of writing, so later versions
+    have greater ones.
+    """
+    return records.select(
+        "key",
+        "value",
+        F.lit(topic).alias("topic"),
+        F.pmod(F.xxhash64("key"), F.lit(partitions)).cast("int").alias("partition"),
+        F.unix_micros(F.current_timestamp()).alias("offset"),
+        F.current_timestamp().alias("timestamp"),
+    )
+
+
 def write_topic(records: DataFrame, servers: str, topic: str | None = None) -> None:
     """Write records to a topic, or each to the one in its ``topic`` column."""
     writer = records.write.format("kafka").option("kafka.bootstrap.servers", servers)
