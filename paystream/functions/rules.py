@@ -1,13 +1,13 @@
-"""Building blocks for JSON contracts: decode fields strictly, one error code per broken rule."""
+"""Building blocks for JSON contracts: decode fields strictly, one error code per broken rule.
+
+Expressions are SQL text, see :mod:`paystream.functions.text`.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import and_
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from paystream.functions.text import (
     as_text,
@@ -15,10 +15,8 @@ from paystream.functions.text import (
     is_single_json,
     is_surely_text,
     json_in_array,
-    kind,
     read_in_array,
     text_of,
-    value_or_empty,
 )
 
 BAD_ENCODING = "encoding:value"
@@ -63,108 +61,100 @@ class Fields:
         type of a field, the record is parsed again into variants, which tell absent from null
         and an integer from 1.0, true or "1".
         """
-        typed = self._ddl({
-            name: {"text": "string", "integer": "bigint"}[how]
-            for name, how in self.declared.items()
-        })
+        sql_types = {"text": "string", "integer": "bigint"}
+        typed = self._ddl({name: sql_types[how] for name, how in self.declared.items()})
         untyped = self._ddl(dict.fromkeys(self.declared, "variant"))
-        text = F.col("_text")
         certain = all_hold(*(
-            is_surely_text(F.col(f"_read.{name}")) if how == "text"
-            else F.col(f"_read.{name}").isNotNull()
+            is_surely_text(f"_read.{name}") if how == "text" else f"_read.{name} IS NOT NULL"
             for name, how in self.declared.items()
         ))
+        listed = f"CASE WHEN _utf8 AND NOT contains(_text, ']') THEN {read_in_array('_text', typed)}"
         frame = (
-            records.select("*", as_text(value_or_empty(F.col(value))).alias("_text"))
-            .select("*", F.is_valid_utf8(text).alias("_utf8"))
-            .select("*", F.when(
-                F.col("_utf8") & ~F.contains(text, F.lit("]")), read_in_array(text, typed)
-            ).alias("_list"))
-            .select("*", F.when(F.size("_list") == 1, F.get("_list", F.lit(0))).alias("_read"))
-            .select("*", certain.alias("_certain"))
-            .select("*", F.when(
-                F.col("_utf8") & ~F.col("_certain"), json_in_array(text)
-            ).alias("_array"))
-            .select("*", F.when(
-                F.col("_array").isNotNull(), is_single_json(text, F.col("_array"))
-            ).alias("_single"))
-            .select("*", F.when(
-                F.col("_single"), F.try_variant_get("_array", "$[0]", untyped)
-            ).alias("_object"))
-            .select("*", *(
-                kind(F.col(f"_object.{name}")).alias(f"_kind_{_flat(name)}")
+            records.selectExpr("*", f"{as_text(value)} AS _text")
+            .selectExpr("*", "is_valid_utf8(_text) AS _utf8")
+            .selectExpr("*", f"{listed} END AS _list")
+            .selectExpr("*", "CASE WHEN size(_list) = 1 THEN get(_list, 0) END AS _read")
+            .selectExpr("*", f"{certain} AS _certain")
+            .selectExpr("*", "CASE WHEN _utf8 AND NOT _certain "
+                             f"THEN {json_in_array('_text')} END AS _array")
+            .selectExpr("*", f"({is_single_json('_text', '_array')}) AS _single")
+            .selectExpr("*", "CASE WHEN _single "
+                             f"THEN try_variant_get(_array, '$[0]', '{untyped}') END AS _object")
+            .selectExpr("*", *(
+                f"schema_of_variant(_object.{name}) AS {self.kind(name)}"
                 for name in self.declared
             ))
         )
-        return frame.select("*", *(
-            F.when(F.col("_certain"), F.col(f"_read.{name}")).otherwise(
-                (text_of if how == "text" else integer_of)(
-                    F.col(f"_object.{name}"), F.col(f"_kind_{_flat(name)}")
-                )
-            ).alias(f"_val_{_flat(name)}")
+        decode = {"text": text_of, "integer": integer_of}
+        return frame.selectExpr("*", *(
+            f"CASE WHEN _certain THEN _read.{name} "
+            f"ELSE {decode[how](f'_object.{name}', self.kind(name))} END AS {self.value(name)}"
             for name, how in self.declared.items()
         ))
 
-    def value(self, name: str) -> Column:
+    def kind(self, name: str) -> str:
+        """Type of the field, only known where the quick reading was not certain."""
+        return f"_kind_{_flat(name)}"
+
+    def value(self, name: str) -> str:
         """Decoded value; NULL if absent or of another type."""
-        return F.col(f"_val_{_flat(name)}")
+        return f"_val_{_flat(name)}"
 
-    def is_missing(self, name: str) -> Column:
+    def is_missing(self, name: str) -> str:
         """The key is absent. JSON null is present."""
-        return self.value(name).isNull() & F.col(f"_kind_{_flat(name)}").isNull()
+        return f"({self.value(name)} IS NULL AND {self.kind(name)} IS NULL)"
 
-    def is_empty(self, name: str) -> Column:
+    def is_empty(self, name: str) -> str:
         """Not a JSON string, or an empty one. Blanks count as text."""
-        return self.value(name).isNull() | (self.value(name) == "")
+        return f"({self.value(name)} IS NULL OR {self.value(name)} = '')"
 
-    def is_none_of(self, name: str, allowed: Sequence[str]) -> Column:
-        return self.value(name).isNull() | ~self.value(name).isin(*allowed)
+    def is_none_of(self, name: str, allowed: Sequence[str]) -> str:
+        choices = ", ".join(f"'{choice}'" for choice in allowed)
+        return f"({self.value(name)} IS NULL OR {self.value(name)} NOT IN ({choices}))"
 
-    def error(self, name: str, *checks: tuple[str, Column]) -> Column:
+    def error(self, name: str, *checks: tuple[str, str]) -> str:
         """The first broken rule of a field as ``rule:name``, NULL if all hold."""
-        out = F.when(self.is_missing(name), F.lit(f"missing:{name}"))
-        for rule, broken in checks:
-            out = out.when(broken, F.lit(f"{rule}:{name}"))
-        return out
+        whens = " ".join(f"WHEN {broken} THEN '{rule}:{name}'" for rule, broken in checks)
+        return f"CASE WHEN {self.is_missing(name)} THEN 'missing:{name}' {whens} END"
 
-    def object_error(self, name: str) -> Column:
+    def object_error(self, name: str) -> str:
         """Error of a nested object: absent, or no object; NULL if it is one."""
-        raw = F.variant_get("_array", f"$[0].{name}", "variant")
-        return F.when(
-            ~F.col("_certain") & F.col(f"_object.{name}").isNull(),
-            F.when(raw.isNull(), F.lit(f"missing:{name}")).otherwise(F.lit(f"type:{name}")),
+        absent = f"variant_get(_array, '$[0].{name}', 'variant') IS NULL"
+        return (
+            f"CASE WHEN NOT {self.is_object(name)} "
+            f"THEN CASE WHEN {absent} THEN 'missing:{name}' ELSE 'type:{name}' END END"
         )
 
-    def is_object(self, name: str) -> Column:
-        return F.col("_certain") | F.col(f"_object.{name}").isNotNull()
+    def is_object(self, name: str) -> str:
+        return f"(_certain OR _object.{name} IS NOT NULL)"
 
 
-def decoding_error() -> Column:
+def decoding_error() -> str:
     """Why a value is no JSON object in UTF-8; NULL if it is one."""
-    return F.when(~F.col("_certain"), (
-        F.when(~F.col("_utf8"), F.lit(BAD_ENCODING))
-        .when(~F.coalesce("_single", F.lit(False)), F.lit(BAD_JSON))
-        .when(F.col("_object").isNull(), F.lit(NO_OBJECT))
-    ))
+    return (
+        f"CASE WHEN _certain THEN NULL WHEN NOT _utf8 THEN '{BAD_ENCODING}' "
+        f"WHEN NOT _single THEN '{BAD_JSON}' WHEN _object IS NULL THEN '{NO_OBJECT}' END"
+    )
 
 
-def all_hold(*conditions: Column) -> Column:
+def all_hold(*conditions: str) -> str:
     """Whether every condition is true; unknown counts as broken."""
-    return F.coalesce(reduce(and_, conditions), F.lit(False))
+    return f"coalesce({' AND '.join(f'({c})' for c in conditions)}, false)"
 
 
-def collect_errors(*errors: Column) -> Column:
+def collect_errors(*errors: str) -> str:
     """All broken rules, in the order given."""
-    return F.array_compact(F.array(*errors))
+    return f"array_compact(array({', '.join(errors)}))"
 
 
-def settle(frame: DataFrame, columns: Mapping[str, Column], keep: Sequence[str]) -> DataFrame:
+def settle(frame: DataFrame, columns: Mapping[str, str], keep: Sequence[str]) -> DataFrame:
     """Select ``keep`` and ``columns`` so that later filters on them do not repeat the work.
 
     Catalyst copies a computed column into every filter above it, which for parsed JSON means
     parsing each record again per filter. Predicates do not pass an ``inline``, so the columns
     are handed out through one over a single-element array.
     """
-    finished = frame.select(*keep, *(c.alias(f"_out_{n}") for n, c in columns.items()))
-    row = F.struct(*(F.col(f"_out_{n}").alias(n) for n in columns))
-    return finished.select(*keep, F.inline(F.array(row)).alias(*columns))
+    kept = [f"`{name}`" for name in keep]
+    finished = frame.selectExpr(*kept, *(f"{sql} AS _out_{n}" for n, sql in columns.items()))
+    row = ", ".join(f"'{n}', _out_{n}" for n in columns)
+    return finished.selectExpr(*kept, f"inline(array(named_struct({row})))")

@@ -1,77 +1,69 @@
-"""Strict decoding of record values: UTF-8, then exactly one JSON document."""
+"""Strict decoding of record values: UTF-8, then exactly one JSON document.
 
-from __future__ import annotations
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+Like all of :mod:`paystream.functions`, these take and give SQL expressions as text: a contract
+has hundreds of small expressions, and each Column call would be a round trip to the JVM.
+"""
 
-
-def value_or_empty(value: Column) -> Column:
-    """A null record value counts as empty bytes, so it is refused and not lost."""
-    return F.coalesce(value, F.lit(b""))
+from __future__ import annotations
 
 
-def as_text(value: Column) -> Column:
-    """Bytes as text without changing them."""
-    return value.cast("string")
+def as_text(value: str) -> str:
+    """Bytes as text without changing them; a null value is empty, so it is refused, not lost."""
+    return f"cast(coalesce({value}, X'') AS STRING)"
 
 
-def readable(value: Column) -> Column:
+def readable(value: str) -> str:
     """Bytes as text, undecodable parts shown as U+FFFD."""
-    return F.make_valid_utf8(as_text(value))
+    return f"make_valid_utf8({as_text(value)})"
 
 
-def json_in_array(text: Column) -> Column:
+def json_in_array(text: str) -> str:
     """``text`` parsed as the only element of an array, or NULL.
 
     Spark's JSON parser stops after the first value and ignores what follows; the brackets make
     it read up to the end. Use together with :func:`is_single_json`.
     """
-    return F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    return f"try_parse_json(concat('[', {text}, ']'))"
 
 
-def is_single_json(text: Column, parsed: Column) -> Column:
+def is_single_json(text: str, parsed: str) -> str:
     """Whether ``text`` is one JSON value and nothing else; ``parsed`` is its array form.
 
     Without a ``]`` in the text the array can only have been closed by our own bracket, so one
     element means one value. With a ``]`` a second reading inside an object decides: no trailing
     text closes both an array and an object.
     """
-    lone = (
-        F.variant_get(parsed, "$[0]", "variant").isNotNull()
-        & F.variant_get(parsed, "$[1]", "variant").isNull()
+    in_object = f"""json_object_keys(concat('{{"w":', {text}, '}}')) IS NOT NULL"""
+    one = (
+        f"variant_get({parsed}, '$[0]', 'variant') IS NOT NULL "
+        f"AND variant_get({parsed}, '$[1]', 'variant') IS NULL"
+    )
+    return (
+        f"{parsed} IS NOT NULL AND "
+        f"CASE WHEN contains({text}, ']') THEN {in_object} ELSE {one} END"
     )
-    in_object = F.json_object_keys(F.concat(F.lit('{"w":'), text, F.lit("}")))
-    return parsed.isNotNull() & F.when(
-        F.contains(text, F.lit("]")), in_object.isNotNull()
-    ).otherwise(lone)
 
 
-def read_in_array(text: Column, schema: str) -> Column:
+def read_in_array(text: str, schema: str) -> str:
     """``text`` read as the only element of an array of structs; NULL or short if it is not."""
-    strict = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
-    return F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<{schema}>", strict)
+    strict = "map('allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false')"
+    return f"from_json(concat('[', {text}, ']'), 'array<{schema}>', {strict})"
 
 
-def is_surely_text(value: Column) -> Column:
+def is_surely_text(value: str) -> str:
     """Whether a value ``from_json`` read as STRING was a JSON string for certain.
 
     ``from_json`` also accepts other tokens and returns them as they are written. They all look
     like a number, a literal, an object or an array; text of that look needs a second check.
     """
-    return ~value.rlike(r"^([-0-9][-+.0-9eE]*|true|false|[{\[].*)$")
-
-
-def kind(variant: Column) -> Column:
-    """Type name of a scalar variant: STRING, BIGINT, BOOLEAN, DECIMAL.., DOUBLE, VOID (null)."""
-    return F.schema_of_variant(variant)
+    return rf"NOT ({value} RLIKE r'^([-0-9][-+.0-9eE]*|true|false|[{{\[].*)$')"
 
 
-def text_of(variant: Column, kind: Column) -> Column:
+def text_of(variant: str, kind: str) -> str:
     """The text of a JSON string, NULL for any other type."""
-    return F.when(kind == "STRING", F.try_variant_get(variant, "$", "string"))
+    return f"CASE WHEN {kind} = 'STRING' THEN try_variant_get({variant}, '$', 'string') END"
 
 
-def integer_of(variant: Column, kind: Column) -> Column:
+def integer_of(variant: str, kind: str) -> str:
     """The value of a JSON integer, NULL for any other type (1.0, 1e3 and true are none)."""
-    return F.when(kind == "BIGINT", F.try_variant_get(variant, "$", "bigint"))
+    return f"CASE WHEN {kind} = 'BIGINT' THEN try_variant_get({variant}, '$', 'bigint') END"

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from paystream.config import SCHEMA_VERSION
 from paystream.functions.rules import Fields, all_hold, decoding_error, settle
-from paystream.functions.text import as_text
-from paystream.operators.windows import aggregate_key
 
 AGGREGATE_FIELDS = Fields({
     "schema_version": "integer",
@@ -29,60 +27,61 @@ _OUT = {
 }
 
 
-def _equals_one() -> Column:
+def _equals_one() -> str:
     """Whether schema_version is 1 as a number: 1.0 and true pass here, text does not."""
-    kind = F.col("_kind_schema_version")
-    number = F.when(
-        kind.isin("BOOLEAN", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL"),
-        F.try_variant_get("_object.schema_version", "$", "double"),
+    kind = AGGREGATE_FIELDS.kind("schema_version")
+    return (
+        f"coalesce({AGGREGATE_FIELDS.value('schema_version')} = {SCHEMA_VERSION}, "
+        f"CASE WHEN {kind} IN ('BOOLEAN', 'DOUBLE', 'FLOAT') OR {kind} LIKE 'DECIMAL%' "
+        "THEN try_variant_get(_object.schema_version, '$', 'double') = 1 END, false)"
     )
-    return F.coalesce(AGGREGATE_FIELDS.value("schema_version") == 1, number == 1, F.lit(False))
 
 
-def _error() -> Column:
-    """The first broken rule, NULL if all hold."""
-    fields = AGGREGATE_FIELDS
-    record_key = F.when(F.is_valid_utf8(as_text(F.col("key"))), as_text(F.col("key")))
+def _expected_key() -> str:
+    get = AGGREGATE_FIELDS.value
+    return f"concat_ws('|', {get('payload.merchant_id')}, {get('window_start')})"
 
-    def invalid(name: str, broken: Column) -> Column:
-        return F.when(broken, F.lit(f"invalid:{name}"))
 
-    def negative(name: str) -> Column:
-        return fields.value(name).isNull() | (fields.value(name) < 0)
+def _error() -> str:
+    """The first broken rule, NULL if all hold."""
+    fields, get = AGGREGATE_FIELDS, AGGREGATE_FIELDS.value
 
-    expected = aggregate_key(fields.value("payload.merchant_id"), fields.value("window_start"))
-    return F.coalesce(
-        decoding_error(),
-        F.when(fields.is_missing("schema_version"), F.lit("missing:schema_version")),
-        F.when(~_equals_one(), F.lit("unsupported:schema_version")),
-        *(invalid(n, fields.is_empty(n)) for n in ("key", "window_start", "window_end")),
-        invalid("payload", ~fields.is_object("payload")),
-        invalid("payload.merchant_id", fields.is_empty("payload.merchant_id")),
-        invalid("payload.transaction_count", negative("payload.transaction_count")),
-        invalid("payload.total_amount_pyg", negative("payload.total_amount_pyg")),
-        F.when(fields.value("key") != expected, F.lit("mismatch:key")),
-        F.when(F.col("key").isNull(), F.lit("missing:record_key")),
-        F.when(
-            record_key.isNull() | (record_key != fields.value("key")),
-            F.lit("mismatch:record_key"),
-        ),
-    )
+    def negative(name: str) -> str:
+        return f"({get(name)} IS NULL OR {get(name)} < 0)"
+
+    checks = {
+        "missing:schema_version": fields.is_missing("schema_version"),
+        "unsupported:schema_version": f"NOT {_equals_one()}",
+        "invalid:key": fields.is_empty("key"),
+        "invalid:window_start": fields.is_empty("window_start"),
+        "invalid:window_end": fields.is_empty("window_end"),
+        "invalid:payload": f"NOT {fields.is_object('payload')}",
+        "invalid:payload.merchant_id": fields.is_empty("payload.merchant_id"),
+        "invalid:payload.transaction_count": negative("payload.transaction_count"),
+        "invalid:payload.total_amount_pyg": negative("payload.total_amount_pyg"),
+        "mismatch:key": f"{get('key')} <> {_expected_key()}",
+        "missing:record_key": "key IS NULL",
+        "mismatch:record_key": f"key <> cast({get('key')} AS BINARY)",
+    }
+    whens = " ".join(f"WHEN {broken} THEN '{code}'" for code, broken in checks.items())
+    return f"CASE WHEN _undecoded IS NOT NULL THEN _undecoded {whens} END"
 
 
 def check_aggregates(records: DataFrame) -> DataFrame:
     """Add the typed aggregate columns and ``error``, the first broken rule or NULL."""
-    fields = AGGREGATE_FIELDS
-    expected = aggregate_key(fields.value("payload.merchant_id"), fields.value("window_start"))
+    get = AGGREGATE_FIELDS.value
+    texts = ("key", "window_start", "window_end", "payload.merchant_id")
     valid = all_hold(
-        fields.value("schema_version") == 1,
-        *(fields.value(n) != "" for n in
-          ("key", "window_start", "window_end", "payload.merchant_id")),
-        fields.value("payload.transaction_count") >= 0,
-        fields.value("payload.total_amount_pyg") >= 0,
-        fields.value("key") == expected,
-        as_text(F.col("key")) == fields.value("key"),
+        f"{get('schema_version')} = {SCHEMA_VERSION}",
+        *(f"{get(name)} <> ''" for name in texts),
+        f"{get('payload.transaction_count')} >= 0",
+        f"{get('payload.total_amount_pyg')} >= 0",
+        f"{get('key')} = {_expected_key()}",
+        f"key = cast({get('key')} AS BINARY)",
+    )
+    parsed = AGGREGATE_FIELDS.read(records).selectExpr(
+        "*", f"{valid} AS _valid", f"{decoding_error()} AS _undecoded"
     )
-    parsed = fields.read(records).select("*", valid.alias("_valid"))
-    columns = {out: fields.value(name) for out, name in _OUT.items()}
-    columns["error"] = F.when(~F.col("_valid"), _error())
+    columns = {out: get(name) for out, name in _OUT.items()}
+    columns["error"] = f"CASE WHEN NOT _valid THEN {_error()} END"
     return settle(parsed, columns, keep=records.columns)

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from paystream.config import CURRENCY, SCHEMA_VERSION, STATUSES
 from paystream.functions.iso_time import has_zone, is_common_iso8601, parse_iso8601
@@ -36,36 +35,39 @@ EVENT_COLUMNS = {
 }
 
 
-def _is_valid() -> Column:
+def _is_valid() -> str:
     get = EVENT.value
+    statuses = ", ".join(f"'{status}'" for status in STATUSES)
     return all_hold(
-        get("schema_version") == SCHEMA_VERSION,
-        get("event_id") != "",
-        get("key") != "",
-        F.col("_event_ts").isNotNull(),
-        F.col("_zoned"),
-        get("payload.transaction_id") != "",
-        get("payload.account_id") != "",
-        get("payload.amount") > 0,
-        get("payload.currency") == CURRENCY,
-        get("payload.status").isin(*STATUSES),
-        get("key") == get("payload.merchant_id"),
+        f"{get('schema_version')} = {SCHEMA_VERSION}",
+        f"{get('event_id')} <> ''",
+        f"{get('key')} <> ''",
+        "_event_ts IS NOT NULL",
+        "_zoned",
+        f"{get('payload.transaction_id')} <> ''",
+        f"{get('payload.account_id')} <> ''",
+        f"{get('payload.amount')} > 0",
+        f"{get('payload.currency')} = '{CURRENCY}'",
+        f"{get('payload.status')} IN ({statuses})",
+        f"{get('key')} = {get('payload.merchant_id')}",
     )
 
 
-def _errors() -> Column:
+def _errors() -> str:
     """Every broken rule of a JSON object, in contract order."""
     get = EVENT.value
 
-    def text_error(name: str) -> Column:
+    def text_error(name: str) -> str:
         return EVENT.error(name, ("invalid", EVENT.is_empty(name)))
 
-    version, amount = "schema_version", "payload.amount"
+    version, at, amount = get("schema_version"), get("event_time"), get("payload.amount")
+    key, merchant = get("key"), get("payload.merchant_id")
     inside = [
         text_error("payload.transaction_id"),
         text_error("payload.merchant_id"),
         text_error("payload.account_id"),
-        EVENT.error(amount, ("type", get(amount).isNull()), ("range", get(amount) <= 0)),
+        EVENT.error(
+            "payload.amount", ("type", f"{amount} IS NULL"), ("range", f"{amount} <= 0")),
         EVENT.error("payload.currency", (
             "invalid", EVENT.is_none_of("payload.currency", [CURRENCY]))),
         EVENT.error("payload.status", (
@@ -73,25 +75,22 @@ def _errors() -> Column:
     ]
     return collect_errors(
         EVENT.error(
-            version,
-            ("type", get(version).isNull()),
-            ("unsupported", get(version) != SCHEMA_VERSION),
+            "schema_version",
+            ("type", f"{version} IS NULL"),
+            ("unsupported", f"{version} <> {SCHEMA_VERSION}"),
         ),
         text_error("event_id"),
         text_error("key"),
         EVENT.error(
             "event_time",
-            ("type", get("event_time").isNull()),
-            ("unparseable", F.col("_event_ts").isNull()),
-            ("naive", ~F.col("_zoned")),
+            ("type", f"{at} IS NULL"),
+            ("unparseable", "_event_ts IS NULL"),
+            ("naive", "NOT _zoned"),
         ),
         EVENT.object_error("payload"),
-        *(F.when(EVENT.is_object("payload"), error) for error in inside),
-        F.when(
-            (get("key") != "") & (get("payload.merchant_id") != "")
-            & (get("key") != get("payload.merchant_id")),
-            F.lit("mismatch:key"),
-        ),
+        *(f"CASE WHEN {EVENT.is_object('payload')} THEN {error} END" for error in inside),
+        f"CASE WHEN {key} <> '' AND {merchant} <> '' AND {key} <> {merchant} "
+        "THEN 'mismatch:key' END",
     )
 
 
@@ -109,19 +108,18 @@ def check_events(records: DataFrame, value: str = "value") -> DataFrame:
     written = EVENT.value("event_time")
     parsed = (
         EVENT.read(records, value)
-        .select("*", is_common_iso8601(written).alias("_common"))
-        .select(
+        .selectExpr("*", f"{is_common_iso8601(written)} AS _common")
+        .selectExpr(
             "*",
-            parse_iso8601(written, F.col("_common")).alias("_event_ts"),
-            has_zone(written, F.col("_common")).alias("_zoned"),
+            f"{parse_iso8601(written, '_common')} AS _event_ts",
+            f"{has_zone(written, '_common')} AS _zoned",
         )
-        .select("*", _is_valid().alias("_valid"))
+        .selectExpr("*", f"{_is_valid()} AS _valid", f"{decoding_error()} AS _undecoded")
     )
     errors = (
-        F.when(F.col("_valid"), F.array().cast("array<string>"))
-        .when(decoding_error().isNotNull(), F.array(decoding_error()))
-        .otherwise(_errors())
+        "CASE WHEN _valid THEN cast(array() AS ARRAY<STRING>) "
+        f"WHEN _undecoded IS NOT NULL THEN array(_undecoded) ELSE {_errors()} END"
     )
     columns = {out: EVENT.value(name) for out, name in EVENT_COLUMNS.items()}
-    columns |= {"event_ts": F.col("_event_ts"), "errors": errors}
+    columns |= {"event_ts": "_event_ts", "errors": errors}
     return settle(parsed, columns, keep=records.columns)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from paystream.config import COUNTED_STATUS
 from paystream.functions.rules import BAD_ENCODING, BAD_JSON, NO_OBJECT
-from paystream.functions.text import as_text, readable, value_or_empty
+from paystream.functions.text import as_text, readable
 from paystream.operators.contract import check_events
 
 
@@ -37,12 +37,12 @@ def _letter_key() -> Column:
 
 def _letter_value() -> Column:
     """``errors`` and ``raw_data``: the event as an object, or readable text if it is none."""
-    value = value_or_empty(F.col("value"))
-    undecoded = F.get("errors", F.lit(0)).isin(BAD_ENCODING, BAD_JSON, NO_OBJECT)
-    raw = F.when(undecoded, readable(value).cast("variant")).otherwise(
-        F.try_parse_json(as_text(value))
+    undecoded = f"get(errors, 0) IN ('{BAD_ENCODING}', '{BAD_JSON}', '{NO_OBJECT}')"
+    raw = (
+        f"CASE WHEN {undecoded} THEN cast({readable('value')} AS VARIANT) "
+        f"ELSE try_parse_json({as_text('value')}) END"
     )
-    return F.to_json(F.struct(F.col("errors"), raw.alias("raw_data"))).cast("binary")
+    return F.expr(f"cast(to_json(named_struct('errors', errors, 'raw_data', {raw})) AS BINARY)")
 
 
 def dead_letters(invalid: DataFrame) -> DataFrame:

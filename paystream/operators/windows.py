@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paystream.config import DEFAULT, SCHEMA_VERSION, StreamConfig
@@ -35,20 +35,18 @@ def aggregate_windows(payments: DataFrame, config: StreamConfig = DEFAULT) -> Da
     )
 
 
-def aggregate_key(merchant: Column, window_start_text: Column) -> Column:
-    """The key all versions of one window share."""
-    return F.concat_ws("|", merchant, window_start_text)
-
-
 def label_windows(windows: DataFrame) -> DataFrame:
-    """Window rows with the key and text bounds users see; the total may exceed 64 bits."""
-    start, end = format_boundary(F.col("window_start")), format_boundary(F.col("window_end"))
+    """Window rows with text bounds and the key all versions of a window share.
+
+    The total is still wide; it may exceed 64 bits.
+    """
+    start, end = format_boundary("window_start"), format_boundary("window_end")
     labelled = {
-        "aggregate_key": aggregate_key(F.col("merchant_id"), start),
+        "aggregate_key": f"concat_ws('|', merchant_id, {start})",
         "window_start": start,
         "window_end": end,
     }
-    return windows.select(*(labelled.get(c, F.col(c)).alias(c) for c in AGGREGATE_COLUMNS))
+    return windows.selectExpr(*(f"{labelled.get(c, c)} AS {c}" for c in AGGREGATE_COLUMNS))
 
 
 def to_table_types(labelled: DataFrame) -> DataFrame:

@@ -446,7 +446,7 @@ def panes_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     count, total = F.col("transaction_count"), F.col("total_amount_pyg").cast("bigint")
     return (
         spark.read.parquet(replay.output).filter(F.col("merchant_id") != TICK)
-        .groupBy("merchant_id", format_boundary(F.col("window_start")).alias("window_start"))
+        .groupBy("merchant_id", F.expr(format_boundary("window_start")).alias("window_start"))
         .agg(
             F.count_if(on_time).alias("on_time_panes"),
             F.max(F.when(on_time, count)).alias("on_time_count"),
