@@ -133,7 +133,7 @@ def deduplicate_within(
             new = new.checkpoint()
             if new.isEmpty():
                 break
-            reached = reached.unionByName(new).checkpoint()
+            reached = reached.unionByName(new)
             links = links.join(ahead, ["chain", "next"]).select(
                 "chain", "t", F.col("after").alias("next")
             ).checkpoint()

@@ -70,7 +70,10 @@ def latest_rows(versions: DataFrame) -> DataFrame:
 
 
 def compact(spark: SparkSession, source: str, target: str) -> None:
-    """Copy a table, keeping only the latest version of each key, to a new path."""
+    """Copy a table to a new path: only the latest version of each key, in files of even size."""
     versions = stored_versions(spark, source)
     rows = latest_per_key(versions, "aggregate_key", ["version", "batch_id"])
-    store_versions(rows.select(*AGGREGATE_COLUMNS, "version"), target, "compacted", 0)
+    even = rows.select(*AGGREGATE_COLUMNS, "version", "window_date").hint(
+        "rebalance", "window_date"
+    )
+    store_versions(even, target, "compacted", 0)
