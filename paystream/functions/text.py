@@ -56,7 +56,7 @@ def is_surely_text(value: str) -> str:
     ``from_json`` also accepts other tokens and returns them as they are written. They all look
     like a number, a literal, an object or an array; text of that look needs a second check.
     """
-    return rf"NOT ({value} RLIKE r'^([-0-9][-+.0-9eE]*|true|false|[{{\[].*)$')"
+    return rf"NOT ({value} RLIKE r'^([{{\[]|([-0-9][-+.0-9eE]*|true|false)$)')"
 
 
 def text_of(variant: str, kind: str) -> str:

@@ -32,6 +32,22 @@ def stage_counts(checked: DataFrame) -> DataFrame:
     )
 
 
+def observe_stages(checked: DataFrame, name: str) -> DataFrame:
+    """Count records, dead letters and confirmed events as they pass, without a pass of their own.
+
+    The counts appear under ``name`` in the progress of each micro-batch of a stream, or in a
+    :class:`pyspark.sql.Observation` of that name on a table.
+    """
+    valid = F.size("errors") == 0
+    return checked.observe(
+        name,
+        F.count(F.lit(1)).alias("records"),
+        F.count_if(~valid).alias("dead_letters"),
+        F.count_if(valid).alias("valid"),
+        F.count_if(valid & (F.col("status") == COUNTED_STATUS)).alias("confirmed"),
+    )
+
+
 def end_offsets(log: DataFrame) -> DataFrame:
     """Records and end offset (last offset + 1) of each partition."""
     return log.groupBy("topic", "partition").agg(

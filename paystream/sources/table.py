@@ -37,10 +37,11 @@ def store_versions(rows: DataFrame, path: str, run: str, batch_id: int) -> None:
     """Write one batch of rows ``(aggregate columns, version)``; replacing it if it is there.
 
     ``run`` names the stream that numbers the batches, so a stream that starts over never writes
-    into the folders of its predecessor.
+    into the folders of its predecessor. A window start that is no date, which the contract
+    allows, goes into the folder without one.
     """
     (
-        rows.withColumn("window_date", F.to_date(F.substring("window_start", 1, 10)))
+        rows.withColumn("window_date", F.substring("window_start", 1, 10).try_cast("date"))
         .write.mode("overwrite").partitionBy("window_date")
         .parquet(f"{path}/run={run}/batch_id={batch_id}")
     )

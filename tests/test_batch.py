@@ -114,6 +114,13 @@ def test_demo_stream(spark):
     assert tuple(int(v) for v in sums) == (3, 6, 1_527_772)
 
 
+def test_batch_path_needs_no_python(spark):
+    checked = check_events(records(spark, demo_events()))
+    plan = aggregate_windows(deduplicate(confirmed(valid_events(checked))))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in text and "Pandas" not in text
+
+
 def test_deduplicate_keeps_first_arrival(spark):
     frame = payments(spark, [("a", _minute(0), 1), ("a", _minute(0), 2), ("b", _minute(0), 3)])
     rows = deduplicate(frame).collect()

@@ -62,6 +62,12 @@ CASES = {
     "true id": (changed(BASE, "event_id", True), ["invalid:event_id"]),
     "null id": (changed(BASE, "event_id", None), ["invalid:event_id"]),
     "object id": (changed(BASE, "event_id", {"a": 1}), ["invalid:event_id"]),
+    "object id with a line separator": (
+        json.dumps(changed(BASE, "event_id", {"a": "\u2028"}), ensure_ascii=False),
+        ["invalid:event_id"]),
+    "other case": (
+        json.dumps(BASE).replace("event_id", "Event_id"), ["missing:event_id"]),
+    "control character": (json.dumps(BASE).replace("evt-1", "evt\n1"), ["syntax:value"]),
     "no key": (changed(BASE, "key", drop=True), ["missing:key"]),
     "empty key": (changed(BASE, "key", ""), ["invalid:key"]),
     "other key": (changed(BASE, "key", "merchant-999"), ["mismatch:key"]),

@@ -3,11 +3,21 @@
 from __future__ import annotations
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from paystream.operators.windows import label_windows, serialize_aggregates, to_table_types
+from paystream.operators.accounting import observe_stages
+from paystream.operators.contract import check_events
+from paystream.operators.dedup import deduplicate
+from paystream.operators.route import confirmed, valid_events
+from paystream.operators.windows import (
+    aggregate_windows,
+    label_windows,
+    serialize_aggregates,
+    to_table_types,
+)
 from paystream.session import work_dir
 from paystream.sources.records import log_writer, read_log, spread, stamped, write_log
 from paystream.sources.table import create_table, current_rows, store_versions
@@ -209,6 +219,40 @@ def test_dead_letters_of_a_stream(spark):
     assert [json.loads(bytes(r.value))["errors"] for r in letters] == [["missing:event_id"]]
 
 
+def test_stages_are_counted_as_records_pass(spark):
+    def start(stream, out, checkpoint):
+        return log_writer(observe_stages(check_events(stream), "stages"), out, checkpoint)
+
+    replay = Replay(spark, "test-observe", partitions=1)
+    replay.run([records(spark, demo_events())], start)
+    seen = [b["observedMetrics"]["stages"] for b in replay.progress[0] if b["numInputRows"]]
+    counts = seen[0].asDict()
+    assert counts == {"records": 10, "dead_letters": 1, "valid": 9, "confirmed": 7}
+
+
+def test_any_arrival_within_lateness_gives_the_result_of_the_table(spark):
+    rng = random.Random(11)
+    arrivals, everything = [], []
+    for step in range(4):
+        batch = []
+        for n in range(30):
+            second = max(0, step * 40 + rng.randrange(-110, 10))
+            name = f"e{step}-{n}"
+            batch.append(event(
+                name, f"merchant-{rng.randrange(2)}", _at(f"12:{second // 60:02d}:{second % 60:02d}"),
+                rng.randrange(1, 1000)))
+        batch += rng.sample(everything, min(len(everything), 10))
+        everything += batch
+        rng.shuffle(batch)
+        arrivals.append(batch)
+    streamed, _ = _fast(spark, arrivals, "update")
+    checked = check_events(records(spark, everything))
+    table = aggregate_windows(deduplicate(confirmed(valid_events(checked))))
+    assert streamed == sorted(
+        (r.window_start[11:16], r.transaction_count, r.total_amount_pyg)
+        for r in to_table_types(label_windows(table)).collect())
+
+
 def _aggregates(spark, *values, first=0):
     frame = records(spark, values, [v["key"].encode() for v in values])
     return frame.withColumn("offset", F.col("offset") + first)

@@ -153,6 +153,11 @@ def test_new_run_does_not_overwrite_the_old_one(spark, table):
     assert len(_rows(spark, table)) == 2
 
 
+def test_window_start_may_be_any_text(spark, table):
+    materialize(_log(spark, BASE, aggregate(start="some time")), table, "r", 0)
+    assert len(_rows(spark, table)) == 2
+
+
 def test_compact(spark, table):
     materialize(_log(spark, BASE, aggregate(count=2, total=35_000)), table, "r", 0)
     target = work_dir(spark, "test-compact")
