@@ -68,11 +68,12 @@ class Fields:
             is_surely_text(f"_read.{name}") if how == "text" else f"_read.{name} IS NOT NULL"
             for name, how in self.declared.items()
         ))
-        listed = f"CASE WHEN _utf8 AND NOT contains(_text, ']') THEN {read_in_array('_text', typed)}"
+        plain = "_utf8 AND NOT contains(_text, ']')"
         frame = (
             records.selectExpr("*", f"{as_text(value)} AS _text")
             .selectExpr("*", "is_valid_utf8(_text) AS _utf8")
-            .selectExpr("*", f"{listed} END AS _list")
+            .selectExpr("*", f"CASE WHEN {plain} THEN {read_in_array('_text', typed)} END "
+                             "AS _list")
             .selectExpr("*", "CASE WHEN size(_list) = 1 THEN get(_list, 0) END AS _read")
             .selectExpr("*", f"{certain} AS _certain")
             .selectExpr("*", "CASE WHEN _utf8 AND NOT _certain "

@@ -31,6 +31,7 @@ from paystream.sources.records import (
     write_log,
     write_topic,
 )
+from paystream.streaming.exact import pane_stream
 from paystream.streaming.fast import aggregate_stream, dead_letter_stream
 
 
@@ -43,6 +44,7 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--max-num-records", type=int, help="stop after so many records")
     parser.add_argument("--path", help="folder of file logs to use in place of a broker")
     parser.add_argument("--checkpoint", help="folder of the checkpoints, needed to stream")
+    parser.add_argument("--exact", action="store_true", help="publish each pane of each window")
     parser.add_argument("--state-partitions", type=int, help="fixed for a checkpoint's life")
     return parser.parse_args(argv)
 
@@ -74,7 +76,7 @@ class Logs:
         checkpoint = f"{self.args.checkpoint}/{topic}"
         if self.args.path:
             return log_writer(stamped(records, topic), f"{self.args.path}/{topic}", checkpoint)
-        return topic_writer(records, self.servers, checkpoint, topic, mode="append")
+        return topic_writer(records.select("key", "value"), self.servers, checkpoint, topic)
 
 
 def run_bounded(logs: Logs, args: argparse.Namespace) -> None:
@@ -91,7 +93,10 @@ def run_bounded(logs: Logs, args: argparse.Namespace) -> None:
 def start_streams(logs: Logs, args: argparse.Namespace) -> list:
     """Two queries, each with a checkpoint of its own, so neither waits for the other."""
     records = logs.read(args.input_topic, True, EVENTS_GROUP)
-    rows = serialize_aggregates(aggregate_stream(records))
+    if args.exact:
+        rows = serialize_aggregates(pane_stream(records), "pane_index")
+    else:
+        rows = serialize_aggregates(aggregate_stream(records))
     letters = dead_letter_stream(records).select("key", "value")
     return [
         logs.writer(rows, args.aggregates_topic).start(),

@@ -35,7 +35,7 @@ def aggregate_windows(payments: DataFrame, config: StreamConfig = DEFAULT) -> Da
     )
 
 
-def label_windows(windows: DataFrame) -> DataFrame:
+def label_windows(windows: DataFrame, *extra: str) -> DataFrame:
     """Window rows with text bounds and the key all versions of a window share.
 
     The total is still wide; it may exceed 64 bits.
@@ -46,7 +46,7 @@ def label_windows(windows: DataFrame) -> DataFrame:
         "window_start": start,
         "window_end": end,
     }
-    return windows.selectExpr(*(f"{labelled.get(c, c)} AS {c}" for c in AGGREGATE_COLUMNS))
+    return windows.selectExpr(*(f"{labelled.get(c, c)} AS {c}" for c in AGGREGATE_COLUMNS), *extra)
 
 
 def to_table_types(labelled: DataFrame) -> DataFrame:

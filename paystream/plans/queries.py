@@ -140,8 +140,7 @@ def aggregate_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _aggregate_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An aggregates log with three versions per window, as on-time and late panes make them."""
-    # The first payments of a window are its first version, and so on: counts 1, 2 and all.
+    """An aggregates log with three versions of each window, the later the greater."""
     rows = window_agg_60s(spark, sf_dir).withColumn(
         "n", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3)))
     )

@@ -76,15 +76,16 @@ def keyed_records(events: DataFrame, key: str = "key") -> DataFrame:
 def stamped(records: DataFrame, topic: str, partitions: int = 3) -> DataFrame:
     """Key and value as full records of a file log, where no broker numbers them.
 
-    All versions of a key share a partition; the offset is the time of writing, so later versions
-    have greater ones.
+    All versions of a key share a partition, and later ones have greater offsets: the time of the
+    batch comes first, then, if there is one, the ``pane_index``.
     """
+    place = F.col("pane_index") if "pane_index" in records.columns else F.lit(0)
     return records.select(
         "key",
         "value",
         F.lit(topic).alias("topic"),
         F.pmod(F.xxhash64("key"), F.lit(partitions)).cast("int").alias("partition"),
-        F.unix_micros(F.current_timestamp()).alias("offset"),
+        (F.shiftleft(F.unix_millis(F.current_timestamp()), 22) + place).alias("offset"),
         F.current_timestamp().alias("timestamp"),
     )
 

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from paystream.config import DEFAULT, StreamConfig
-from paystream.streaming.fast import CLOCKED, combine_copies
+from paystream.operators.windows import label_windows
+from paystream.streaming.fast import CLOCKED, combine_copies, confirmed_payments
 
 # Send the code below to the executors with each task; they need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -197,3 +198,9 @@ def panes(clocked: DataFrame, config: StreamConfig = DEFAULT) -> DataFrame:
         "transaction_count",
         "total_amount_pyg",
     )
+
+
+def pane_stream(records: DataFrame, config: StreamConfig = DEFAULT) -> DataFrame:
+    """Raw log to the labelled rows of all panes, with ``pane_index``: every version of a window."""
+    clocked = with_event_clock(confirmed_payments(records))
+    return label_windows(panes(deduplicate_exactly(clocked, config), config), "pane_index")

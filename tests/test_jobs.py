@@ -17,7 +17,7 @@ from paystream.operators.datagen import (
     generate_stream,
     sow_faults,
 )
-from paystream.session import work_dir
+from paystream.session import stream_session, work_dir
 from paystream.sources.records import (
     bounded,
     kafka_source_options,
@@ -26,7 +26,7 @@ from paystream.sources.records import (
     write_log,
 )
 from paystream.sources.table import current_rows
-from tests.helpers import demo_events, records
+from tests.helpers import demo_events, event, records
 
 
 def _events(frame):
@@ -150,6 +150,38 @@ def test_chain_of_jobs_on_the_demo_records(spark):
     assert [bytes(r.key) for r in letters] == [b""]
 
 
+@pytest.mark.parametrize("mode", [[], ["--exact"]])
+def test_streaming_job(spark, mode):
+    """Events in three steps, among them a late one; the table ends up with the full count."""
+    path = work_dir(spark, "test-stream-job")
+    args = run_stream.parse_args(["--path", path, "--checkpoint", f"{path}/checkpoint", *mode])
+    session = stream_session(spark, 1)
+    steps = [
+        [event("a", at="2026-01-01T12:00:10Z"), "broken"],
+        [event("tick", "tick", at="2026-01-01T12:01:01Z")],
+        [event("b", at="2026-01-01T12:00:20Z"), event("c", at="2026-01-01T12:00:30Z")],
+        [event("tick2", "tick", at="2026-01-01T12:10:01Z")],
+    ]
+    write_log(records(spark, steps[0]), f"{path}/{DEFAULT.events_topic}")
+    queries = run_stream.start_streams(run_stream.Logs(session, args), args)
+    for n, step in enumerate(steps):
+        if n:
+            log = records(spark, step).withColumn("offset", F.col("offset") + 10 * n)
+            write_log(log, f"{path}/{DEFAULT.events_topic}")
+        for query in queries:
+            query.processAllAvailable()
+    for query in queries:
+        query.stop()
+    letters = read_log(spark, f"{path}/{DEFAULT.dead_letter_topic}").collect()
+    assert [json.loads(bytes(r.value))["errors"] for r in letters] == [["syntax:value"]]
+    versions = read_log(spark, f"{path}/{AGGREGATES_TOPIC}").filter("key LIKE 'merchant-001%'")
+    assert versions.count() == (3 if mode else 1)
+    table = f"{path}/table"
+    assert materialize.main(["--path", path, "--table-path", table, "--max-messages", "99"]) == 0
+    rows = current_rows(spark, table).filter("merchant_id <> 'tick'").collect()
+    assert [(r.transaction_count, r.total_amount_pyg) for r in rows] == [(3, 30_000)]
+
+
 def test_bad_aggregate_ends_the_job_with_an_error(spark, capsys):
     path = work_dir(spark, "test-poison")
     write_log(records(spark, ["{not valid json"]), f"{path}/{AGGREGATES_TOPIC}")
