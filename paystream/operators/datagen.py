@@ -87,6 +87,8 @@ def sow_faults(
     back beyond all lateness and one lacks its event id. Adds ``arrival`` (the order of sending)
     and ``scenario_tag``; neither belongs to the event.
     """
+    if every < 8:
+        raise ValueError("there are four kinds of faults to place: every must be at least 8")
     slot = F.col("id") % every
     plan = (
         F.when(slot == 5, F.array(F.lit("out_of_order")))

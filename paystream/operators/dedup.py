@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from paystream.session import ensure_checkpoint_dir
 
 ARRIVAL = ("partition", "offset")
+SECOND = 1_000_000
+SALTS = 64
 
 
 def first_per(
@@ -29,6 +31,10 @@ def deduplicate(events: DataFrame, key: str = "event_id") -> DataFrame:
     return first_per(events, [key])
 
 
+def _second_of(micros: str) -> Column:
+    return F.col(micros) - F.pmod(F.col(micros), F.lit(SECOND).cast("long"))
+
+
 def _sessions(points: DataFrame, key: str, horizon: int) -> DataFrame:
     """Runs of times of one id in which no gap reaches the horizon, as ``(first, last)``.
 
@@ -56,10 +62,6 @@ def _successors(points: DataFrame, key: str, horizon: int) -> DataFrame:
     the same second as ``t + horizon`` (times are whole microseconds, so there are at most a
     million), then, if that second has none, the start of the next second that has one.
     """
-    second = 1_000_000
-    def start_of(at: str) -> Column:
-        return F.col(at) - F.pmod(F.col(at), F.lit(second))
-
     rows = points.select(
         key, F.col("t").alias("at"), F.lit(None).cast("long").alias("origin"),
         F.col("t").alias("row_t"),
@@ -68,7 +70,7 @@ def _successors(points: DataFrame, key: str, horizon: int) -> DataFrame:
         key, (F.col("t") + horizon).alias("at"), F.col("t").alias("origin"),
         F.lit(None).cast("long").alias("row_t"),
     )
-    both = rows.unionByName(probes).withColumn("sec", start_of("at"))
+    both = rows.unionByName(probes).withColumn("sec", _second_of("at"))
     # From late to early, the last row seen is the nearest one at or after the probe; the frame
     # includes rows with the same time.
     inside = (
@@ -116,7 +118,15 @@ def deduplicate_within(
 
     long_cells = runs.filter(F.col("last") - F.col("first") >= horizon)
     if not long_cells.isEmpty():
-        members = points.join(long_cells.select(key, "cell", "run"), [key, "cell"])
+        # Salted by second, as one cell of one id may hold a large part of all times.
+        salt = F.pmod(F.expr(f"t div {SECOND}"), F.lit(SALTS))
+        members = points.withColumn("salt", salt).join(
+            long_cells.select(
+                key, "cell", "run",
+                F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long").alias("salt"),
+            ),
+            [key, "cell", "salt"],
+        )
         # Ids are told apart by run from here on: a chain never leaves its run.
         members = members.select(F.struct(key, "run").alias("chain"), "t")
         links = _successors(members, "chain", horizon)

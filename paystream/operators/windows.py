@@ -46,7 +46,8 @@ def label_windows(windows: DataFrame, *extra: str) -> DataFrame:
         "window_start": start,
         "window_end": end,
     }
-    return windows.selectExpr(*(f"{labelled.get(c, c)} AS {c}" for c in AGGREGATE_COLUMNS), *extra)
+    columns = (f"{labelled.get(c, c)} AS {c}" for c in AGGREGATE_COLUMNS)
+    return windows.selectExpr(*columns, *extra)
 
 
 def to_table_types(labelled: DataFrame) -> DataFrame:

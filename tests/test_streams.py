@@ -38,6 +38,7 @@ def _at(clock):
 
 
 def _panes(spark, arrivals, dedup=False):
+    """All panes as merchant -> [(window, pane index, timing, count, total)]."""
     def build(stream, out, checkpoint):
         clocked = with_event_clock(stream)
         clocked = deduplicate_exactly(clocked) if dedup else clocked
@@ -45,54 +46,48 @@ def _panes(spark, arrivals, dedup=False):
 
     replay = Replay(spark, "test-panes", partitions=1)
     replay.run(steps(spark, arrivals), build)
-    rows = spark.read.parquet(replay.output).filter("merchant_id <> 'tick'").collect()
-    return sorted(
-        (r.window_start.strftime("%H:%M"), r.pane_index, r.timing, r.transaction_count,
-         int(r.total_amount_pyg))
-        for r in rows)
+    out = {}
+    for r in spark.read.parquet(replay.output).orderBy("window_start", "pane_index").collect():
+        out.setdefault(r.merchant_id, []).append(
+            (r.window_start.strftime("%H:%M"), r.pane_index, r.timing, r.transaction_count,
+             int(r.total_amount_pyg)))
+    return out
 
 
 def _tick(clock):
     return [(f"tick-{clock}", _at(clock), 1, "tick")]
 
 
-def test_panes_on_time_late_and_too_late(spark):
-    """One window gets a late payment, another one only a payment beyond the lateness."""
-    assert _panes(spark, [
-        [("a", _at("12:00:10"), 10_000)],
+@pytest.fixture(scope="module")
+def all_panes(spark):
+    """One stream of several merchants, a case each."""
+    return _panes(spark, [
+        [("a1", _at("12:00:10"), 10_000, "late"), ("b1", _at("12:00:10"), 10_000, "too late"),
+         ("c1", _at("12:00:40"), 25_000, "order"), ("c2", _at("12:00:10"), 10_000, "order")],
         _tick("12:01:01"),
-        [("b", _at("12:00:40"), 25_000)],
-        _tick("12:03:01"),
-        [("c", _at("12:00:05"), 99_999)],
-    ]) == [("12:00", 0, "ON_TIME", 1, 10_000), ("12:00", 1, "LATE", 2, 35_000)]
+        [("a2", _at("12:00:40"), 25_000, "late"), ("d1", _at("12:00:41"), 5, "only late"),
+         ("c3", _at("12:00:20"), 1, "order"), ("c4", _at("12:00:21"), 2, "order")],
+        [("d2", _at("12:00:42"), 6, "only late")],
+        _tick("12:03:00"),
+        [("a3", _at("12:00:05"), 99_999, "late"), ("b2", _at("12:00:05"), 99_999, "too late")],
+    ])
 
 
-def test_too_late_without_a_late_pane(spark):
-    assert _panes(spark, [
-        [("a", _at("12:00:10"), 10_000)],
-        _tick("12:03:01"),
-        [("b", _at("12:00:05"), 99_999)],
-    ]) == [("12:00", 0, "ON_TIME", 1, 10_000)]
+def test_late_payment_adds_a_pane_and_too_late_one_does_not(all_panes):
+    assert all_panes["late"] == [
+        ("12:00", 0, "ON_TIME", 1, 10_000), ("12:00", 1, "LATE", 2, 35_000)]
+    assert all_panes["too late"] == [("12:00", 0, "ON_TIME", 1, 10_000)]
 
 
-def test_out_of_order_before_the_watermark_and_late_in_one_batch(spark):
-    """Every late payment has a pane of its own, also where several arrive together."""
-    on_time, *late = _panes(spark, [
-        [("a", _at("12:00:40"), 25_000), ("b", _at("12:00:10"), 10_000)],
-        _tick("12:01:00"),
-        [("c", _at("12:00:20"), 1), ("d", _at("12:00:21"), 2)],
-    ])
+def test_every_late_payment_has_a_pane_also_several_in_one_batch(all_panes):
+    on_time, *late = all_panes["order"]
     assert on_time == ("12:00", 0, "ON_TIME", 2, 35_000)
     assert [row[:4] for row in late] == [("12:00", 1, "LATE", 3), ("12:00", 2, "LATE", 4)]
     assert late[0][4] in (35_001, 35_002) and late[1][4] == 35_003
 
 
-def test_window_with_late_payments_only(spark):
-    assert _panes(spark, [
-        _tick("12:01:30"),
-        [("a", _at("12:00:40"), 5)],
-        [("b", _at("12:00:41"), 6)],
-    ]) == [("12:00", 0, "LATE", 1, 5), ("12:00", 1, "LATE", 2, 11)]
+def test_window_with_late_payments_only(all_panes):
+    assert all_panes["only late"] == [("12:00", 0, "LATE", 1, 5), ("12:00", 1, "LATE", 2, 11)]
 
 
 def test_duplicates_do_not_reach_the_panes(spark):
@@ -100,7 +95,7 @@ def test_duplicates_do_not_reach_the_panes(spark):
         [("a", _at("12:00:10"), 10_000), ("a", _at("12:00:10"), 10_000)],
         [("a", _at("12:00:10"), 10_000)],
         _tick("12:01:01"),
-    ], dedup=True) == [("12:00", 0, "ON_TIME", 1, 10_000)]
+    ], dedup=True)["merchant-001"] == [("12:00", 0, "ON_TIME", 1, 10_000)]
 
 
 def _passed(spark, arrivals):
@@ -108,36 +103,23 @@ def _passed(spark, arrivals):
     replay.run(steps(spark, arrivals), lambda stream, out, checkpoint: log_writer(
         deduplicate_exactly(with_event_clock(stream)), out, checkpoint))
     rows = spark.read.parquet(replay.output).filter("merchant_id <> 'tick'")
-    return sorted((r.event_id, r.offset) for r in rows.collect())
+    rows = rows.withColumn("ts", F.timestamp_micros("event_us"))
+    return sorted((r.event_id, r.offset, r.ts) for r in rows.collect())
 
 
-def test_duplicate_does_not_prolong_the_horizon(spark):
-    assert _passed(spark, [
-        [("a", _at("12:00:00"), 1), ("b", _at("12:00:00"), 1), ("a", _at("12:00:00"), 1)],
-        [("a", _at("12:00:10"), 1)],
+def test_horizon(spark):
+    """a: a duplicate does not prolong it; b: passes once; c: the same event passes again."""
+    rows = _passed(spark, [
+        [("a", _at("12:00:00"), 1), ("b", _at("12:00:20"), 1), ("a", _at("12:00:00"), 1),
+         ("c", "2026-01-01T12:00:00.123456Z", 1)],
+        [("a", _at("12:00:10"), 1), ("c", "2026-01-01T12:00:00.123456Z", 1)],
         _tick("12:03:01"),
-        [("a", _at("12:03:01"), 1)],
+        [("a", _at("12:03:01"), 1), ("b", _at("12:00:20"), 1),
+         ("c", "2026-01-01T12:00:00.123456Z", 1)],
         [("a", _at("12:05:00"), 1)],
-    ]) == [("a", 0), ("a", 5), ("b", 1)]
-
-
-def test_same_event_is_accepted_again_after_the_horizon(spark):
-    assert _passed(spark, [
-        [("a", _at("12:00:00"), 1)],
-        _tick("12:02:59"),
-        [("a", _at("12:00:00"), 1)],
-        _tick("12:03:01"),
-        [("a", _at("12:00:00"), 1)],
-    ]) == [("a", 0), ("a", 4)]
-
-
-def test_time_survives_deduplication(spark):
-    replay = Replay(spark, "test-time", partitions=1)
-    rows = payments(spark, [("a", "2026-03-15T08:30:00.123456Z", 1)])
-    replay.run([rows], lambda stream, out, checkpoint: log_writer(
-        deduplicate_exactly(with_event_clock(stream)), out, checkpoint))
-    row = spark.read.parquet(replay.output).selectExpr("timestamp_micros(event_us) AS ts")
-    assert row.collect()[0].ts.isoformat() == "2026-03-15T08:30:00.123456"
+    ])
+    assert [(e, n) for e, n, _ in rows] == [("a", 0), ("a", 7), ("b", 1), ("c", 3), ("c", 9)]
+    assert rows[-1][2].isoformat() == "2026-01-01T12:00:00.123456"
 
 
 def test_many_copies_are_combined_in_each_task(spark):
