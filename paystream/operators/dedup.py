@@ -123,7 +123,7 @@ def deduplicate_within(
         members = points.withColumn("salt", salt).join(
             long_cells.select(
                 key, "cell", "run",
-                F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long").alias("salt"),
+                F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")).alias("salt"),
             ),
             [key, "cell", "salt"],
         )
