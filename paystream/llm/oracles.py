@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from paystream.llm import quality
+from paystream.llm import license, quality
 from paystream.llm.queries import BLOCKED_DOMAINS, URL_RULES
 
 ORACLES: dict[str, str] = {}
@@ -19,6 +19,30 @@ def _lower(x: str) -> str:
     return f"translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+_SIGNATURES = ", ".join(
+    f"({n}, '{r.keyword}', '{license.expression(r)}', '{r.label}', {r.priority}, {license.CONFIDENCE[r.priority]}::DOUBLE, {r.base})"
+    for n, r in enumerate(license.RULES)
+)
+ORACLES["op1_license_scan"] = rf"""
+WITH rules(n, keyword, pattern, label, priority, score, base) AS (VALUES {_SIGNATURES}),
+d AS (SELECT doc_id, list_filter(string_split(regexp_replace({_lower("coalesce(text, '')")}, '{license.BETWEEN_WORDS}', ' ', 'g'), ' '),
+  lambda x: x <> '') AS words FROM documents),
+w AS (SELECT doc_id, words, unnest(range(len(words))) AS start FROM d),
+h AS (SELECT doc_id, start, array_to_string(words[start + 1:start + {license.REACH}], ' ') AS context, r.*
+  FROM w JOIN rules r ON words[start + 1] = keyword),
+f AS (SELECT *, start + len(string_split(hit, ' ')) AS stop
+  FROM (SELECT *, regexp_extract(context, pattern, 1) AS hit FROM h) WHERE hit <> ''),
+k AS (SELECT * FROM f ANTI JOIN f AS e ON f.doc_id = e.doc_id AND e.start <= f.start AND e.stop >= f.stop
+  AND (e.priority, f.stop - f.start - e.stop + e.start, e.n) < (f.priority, 0, f.n)),
+b AS (SELECT doc_id, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word,
+  string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM f WHERE base GROUP BY doc_id),
+l AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score FROM (
+  SELECT doc_id, label, score FROM k UNION ALL SELECT doc_id, label, 0 FROM f WHERE base) GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+  last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+  coalesce(score, 0)::DOUBLE AS score FROM d LEFT JOIN b USING (doc_id) LEFT JOIN l USING (doc_id)
+"""
+
 _RULE_ROWS = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 ORACLES["op4_url_filter"] = f"""
 WITH rules(h, p, v) AS (VALUES {_RULE_ROWS}),
@@ -63,3 +87,10 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
   n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
   NOT (base_failed OR {" OR ".join(_rule_sql(r) for r in quality.RULES)}) AS kept FROM q
 """
+
+ORACLES["op6_warc"] = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS digest FROM pages),
+f AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY digest) ELSE page_id END AS first FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, nullif(first, page_id) AS refers_to FROM f
+"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -19,7 +20,10 @@ PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
     "offset long, sequence_length long, sequence_cost double"
 )
-_CACHED_WORDS = 400_000
+_CACHED_WORDS = 600_000
+_GROUP_WORDS = 100_000
+_ENDS = b".,!?;:%&$*#"
+_ENDED = re.compile(rb"[a-z][.,!?;:%&$*#]+$")
 _ENCODERS: dict[str, "_Encoder"] = {}
 
 
@@ -27,7 +31,9 @@ class _Encoder:
     """Ids of a text as little-endian 32-bit bytes, by way of a bounded cache of words.
 
     The tokenizer drops blanks and never merges across them, so the ids of a text are those of
-    its words, one after the other.
+    its words, one after the other. Words that are new are encoded many at a time, parted by a
+    special token. Where the tokenizer parts letters from the signs after them and ignores case
+    (tried out once), a word is put together from its letters and its signs.
     """
 
     def __init__(self, path: str) -> None:
@@ -35,20 +41,61 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[bytes, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
+        self.cores: dict[bytes, bytes] = {}
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.mark, self.separator = next(((k, t.content) for k, t in sorted(added.items()) if t.special), (None, ""))
+        self.parts = self._plain("Abc,.") == self._plain("abc") + self._plain(",.")
+
+    def _plain(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _many(self, words: list[bytes]) -> list[bytes]:
+        texts = [w.decode() for w in words]
+        joined = self.separator.join(texts)
+        if self.mark is None or joined.count(self.separator) != len(texts) - 1 or "<|" in "".join(texts):
+            return [self._plain(x) for x in texts]
+        ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+        ends, data, start, out = np.flatnonzero(ids == self.mark).tolist(), ids.tobytes(), 0, []
+        for end in [*ends, len(ids)]:
+            out.append(data[4 * start:4 * end])
+            start = end + 1
+        return out
+
+    def _learn(self, words: set[bytes]) -> None:
+        """Put ``words`` into the cache."""
+        split: dict[bytes, tuple[bytes, bytes]] = {}
+        for word in words:
+            core, ends = word, b""
+            if self.parts and word.isascii():
+                core = word.lower()
+                if _ENDED.search(core):
+                    bare = core.rstrip(_ENDS)
+                    core, ends = bare, core[len(bare):]
+            split[word] = core, ends
+        new = list({x for pair in split.values() for x in pair if x} - self.cores.keys())
+        for i in range(0, len(new), 2048):
+            part = new[i:i + 2048]
+            self.cores.update(zip(part, self._many(part)))
+        for word, (core, ends) in split.items():
+            self.words[word] = self.cores[core] + self.cores[ends] if ends else self.cores[core]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        for text in texts:
-            words = text.encode().split()
-            missing = list({w for w in words if w not in self.cache})
-            if len(self.cache) + len(missing) > _CACHED_WORDS:
-                self.cache.clear()
-                missing = list(set(words))
-            for i in range(0, len(missing), 4096):
-                part = missing[i:i + 4096]
-                found = self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
-                self.cache.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, found))
-            yield b"".join(map(self.cache.__getitem__, words))
+        held: list[list[bytes]] = []
+        size = 0
+        for k, text in enumerate(texts):
+            held.append(text.encode().split())
+            size += len(held[-1])
+            if size >= _GROUP_WORDS or k == len(texts) - 1:
+                missing = set().union(*held) - self.words.keys()
+                if len(self.words) + len(missing) > _CACHED_WORDS:
+                    self.words.clear()
+                    self.cores.clear()
+                    missing = set().union(*held)
+                self._learn(missing)
+                for words in held:
+                    yield b"".join(map(self.words.__getitem__, words))
+                held, size = [], 0
 
 
 def _encoder(path: str) -> _Encoder:

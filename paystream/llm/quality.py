@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paystream.llm.common import BLANKS, let, lower_ascii, word_array
+from paystream.llm.common import BLANKS, let, word_array
 
 SYMBOLS = "#*$%&|<>"
 #: Frequent words of the languages the rules are meant for; the threshold on their share is low.
@@ -58,10 +58,8 @@ def _repeat_words(words: Column, width: int) -> Column:
         ))
 
     def of(w: Column) -> Column:
-        hashes = F.transform(
-            F.sequence(F.lit(0), F.size(w) - width),
-            lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(width)]),
-        )
+        windows = F.arrays_zip(w, *[F.slice(w, k + 1, F.size(w)) for k in range(1, width)])
+        hashes = F.slice(F.transform(windows, lambda x: F.xxhash64(x)), F.lit(1), F.size(w) - (width - 1))
         return let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(
             let(F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i")))), covered)))
 
@@ -83,15 +81,15 @@ def measure(docs: DataFrame, width: int = 5) -> DataFrame:
     split = bare.select(
         "doc_id", word_array(text).alias("words"),
         F.filter(F.split(text, "\n"), lambda x: F.length(F.btrim(x, F.lit(BLANKS))) > 0).alias("lines"),
-        F.length(F.translate(text, BLANKS, "")).cast("long").alias("word_chars"),
-        (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.regexp_count(text, F.lit(f"[{SYMBOLS}]")).cast("long").alias("n_symbols"),
     )
-    stop = F.array(*[F.lit(w) for w in STOP_WORDS])
+    stop = f"(?i)^(?:{'|'.join(STOP_WORDS)})$"
     counted = split.select(
-        "doc_id", F.size("words").cast("long").alias("n_words"), "word_chars", "n_symbols",
+        "doc_id", F.size("words").cast("long").alias("n_words"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"), "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         _repeat_words(F.col("words"), width).alias("n_repeat_words"),
-        F.size(F.filter("words", lambda w: F.array_contains(stop, lower_ascii(w)))).alias("n_stop"),
+        F.size(F.filter("words", lambda w: w.rlike(stop))).alias("n_stop"),
         F.size("lines").alias("n_lines"),
         F.size(F.filter("lines", lambda x: x.rlike(r"(?:\.\.\.|…)[\x20\x09-\x0D]*$"))).alias("n_cut"),
         F.size(F.filter("lines", lambda x: x.rlike(r"^[\x20\x09-\x0D]*[-*•]"))).alias("n_bullet"),

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paystream.llm import langid, packing, quality, urlfilter
+from paystream.llm import langid, license, packing, quality, toxicity, urlfilter, warc
 from paystream.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,31 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+@query
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and detections of every document."""
+    found = license.scan(table(spark, sf_dir, "documents"))
+    base = F.transform("base", lambda d: d["label"])
+    return found.select(
+        "doc_id", "n_words", F.size("base").cast("long").alias("n_base"),
+        F.array_min(F.transform("base", lambda d: d["start"])).cast("long").alias("first_word"),
+        F.array_max(F.transform("base", lambda d: d["start"])).cast("long").alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(base)), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(base, F.transform("detections", lambda d: d["label"]))), ",").alias("labels"),
+        F.coalesce(F.array_max(F.transform("detections", lambda d: d["score"])), F.lit(0.0)).alias("score"),
+    )
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from two thirds of the labels."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(~held_out(F.col("doc_id"))))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 @query
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on the url of every page."""
@@ -35,6 +60,13 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), index).select("page_id", "host", "path", "rule", "verdict")
 
 
+@query
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to an archive and read back."""
+    records = warc.archive(table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every document and whether the rules keep it."""
