@@ -94,3 +94,16 @@ f AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY digest)
 SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
   CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, nullif(first, page_id) AS refers_to FROM f
 """
+
+ORACLES["op8_minhash"] = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array({_lower("coalesce(text, '')")}, '{_BLANK}+'), lambda x: x <> '') AS words FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) = 1 THEN words
+  ELSE list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]) END) AS sh FROM w),
+e AS (SELECT doc_id, unnest(sh) AS sh FROM s),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM e a JOIN e b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b WHERE 100 * n >= 80 * (len(x.sh) + len(y.sh) - n)),
+u AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(doc_id, other) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.doc_id, u.b FROM r JOIN u ON r.other = u.a)
+SELECT doc_id, len(sh)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM s JOIN (SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id) USING (doc_id)
+"""

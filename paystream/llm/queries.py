@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paystream.llm import langid, license, packing, quality, toxicity, urlfilter, warc
+from paystream.llm import langid, license, minhash, packing, quality, toxicity, urlfilter, warc
 from paystream.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,6 +78,13 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents that share four fifths of their pairs of words."""
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences, one row per piece."""
