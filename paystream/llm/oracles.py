@@ -107,3 +107,14 @@ r(doc_id, other) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.doc_id, u.b FRO
 SELECT doc_id, len(sh)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
 FROM s JOIN (SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id) USING (doc_id)
 """
+
+ORACLES["op5_substring_dedup"] = rf"""
+WITH s AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '{_BLANK}+'), lambda x: x <> '') AS words FROM documents),
+w AS (SELECT doc_id, i, words[i:i + 12] AS gram FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM s WHERE len(words) >= 13)),
+m AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY gram) AS least FROM w) WHERE least < doc_id),
+r AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(i, i + 13)) AS p FROM m)),
+k AS (SELECT doc_id, count(*) AS n, list(p) AS gone FROM r GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
+  sha256(array_to_string(CASE WHEN n IS NULL THEN words ELSE list_filter(words, lambda x, i: NOT list_contains(gone, i)) END, ' ')) AS kept_sha256
+FROM s LEFT JOIN k USING (doc_id)
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paystream.llm import langid, license, minhash, packing, quality, toxicity, urlfilter, warc
+from paystream.llm import langid, license, minhash, packing, quality, substring, toxicity, urlfilter, warc
 from paystream.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,6 +60,13 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), index).select("page_id", "host", "path", "rule", "verdict")
 
 
+@query
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the runs of 13 words that an earlier one has."""
+    left = substring.deduplicate(table(spark, sf_dir, "documents"), window=13, with_text=False)
+    return left.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 @query
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to an archive and read back."""
