@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,3 +52,40 @@ def held_out(doc_id: Column) -> Column:
 def texts_of(batch, name: str = "text") -> list[str]:
     """The texts of an Arrow batch, with "" for null."""
     return [x or "" for x in batch.column(name).to_pylist()]
+
+
+def text_groups(
+    batches: Iterator[pa.RecordBatch], most_bytes: int, encode: Callable[[str], bytes] = str.encode
+) -> Iterator[tuple[list[int | None], list[bytes]]]:
+    """Ids and encoded texts, in groups of at most about ``most_bytes`` or one long text."""
+    ids: list[int | None] = []
+    texts: list[bytes] = []
+    size = 0
+    for batch in batches:
+        for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch)):
+            ids.append(doc_id)
+            texts.append(encode(text))
+            size += len(texts[-1])
+            if size > most_bytes:
+                yield ids, texts
+                ids, texts, size = [], [], 0
+    if ids:
+        yield ids, texts
+
+
+def bare(docs: DataFrame) -> DataFrame:
+    """Only doc_id and text, of the types the operators expect."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def keep_rows(docs: DataFrame, judge: Callable[[list[str]], list[bool]]) -> DataFrame:
+    """The rows whose text ``judge`` keeps, with all their columns; null text is judged as "".
+
+    Rows are judged where they lie: no shuffle, and ids don't matter.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(judge(texts_of(batch)), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

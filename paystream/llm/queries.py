@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paystream.llm import langid, license, minhash, packing, quality, substring, toxicity, urlfilter, warc
+from paystream.llm import decontaminate, langid, license, minhash, packing, quality, substring, toxicity, urlfilter, warc
 from paystream.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +52,12 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with copies of benchmark items, and where the copies stand."""
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on the url of every page."""

@@ -26,8 +26,9 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from paystream.llm.common import texts_of
+from paystream.llm.common import text_groups
 from paystream.llm.hashing import mix, run_hashes, word_hashes
 
 #: Prefix lengths that are counted; past them the whole window is the prefix.
@@ -35,22 +36,8 @@ DEPTHS = (1, 2, 4)
 _BINS = 4096
 #: An id above all others, for documents without one: their windows count as repeats of any other.
 _NO_ID = (1 << 63) - 1
-_TASK_WORDS = 2_500_000
-
-
-def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes]]]:
-    """Ids and texts in groups of about as many words as a task holds at once."""
-    ids, texts, size = [], [], 0
-    for batch in batches:
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch)):
-            ids.append(doc_id)
-            texts.append(text.encode())
-            size += len(texts[-1])
-            if size > 6 * _TASK_WORDS:
-                yield ids, texts
-                ids, texts, size = [], [], 0
-    if ids:
-        yield ids, texts
+#: Bytes of text a task works on at once.
+_TASK_BYTES = 15_000_000
 
 
 def _bin(prefix: np.ndarray, depth: int) -> np.ndarray:
@@ -74,7 +61,7 @@ def prefix_counts(docs: DataFrame, window: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros((len(DEPTHS), _BINS), "i8")
-        for _, texts in _batches(batches):
+        for _, texts in text_groups(batches, _TASK_BYTES):
             words, _, _, first, _ = _paths(texts, window)
             for k, depth in enumerate(DEPTHS):
                 if depth < window and len(first):
@@ -167,7 +154,7 @@ def suffixes(docs: DataFrame, window: int, counts: np.ndarray, quota: int, group
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(1)
-        for ids, texts in _batches(batches):
+        for ids, texts in text_groups(batches, _TASK_BYTES):
             names = np.array([_NO_ID if x is None else x for x in ids], "i8")
             tags = np.array([zlib.crc32(x) & 0xFFFF for x in texts], "u2")
             words, doc, place, first, paths = _paths(texts, window)
@@ -231,7 +218,7 @@ _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
 def _blocks_of(docs: DataFrame, blocks: int) -> DataFrame:
-    """Compressed texts by block; null text is null."""
+    """Compressed texts by block, with the columns to carry; null text is null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(3)
@@ -239,14 +226,17 @@ def _blocks_of(docs: DataFrame, blocks: int) -> DataFrame:
             ids = np.array([_NO_ID if x is None else x for x in batch.column("doc_id").to_pylist()], "i8")
             packed = [None if x is None else press.compress(x.encode()) for x in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(_block_of(ids, blocks)), batch.column("doc_id"), pa.array(packed, pa.binary())], ["block", "doc_id", "body"]
+                [pa.array(_block_of(ids, blocks)), batch.column("doc_id"), pa.array(packed, pa.binary()), *batch.columns[2:]],
+                ["block", "doc_id", "body", *batch.schema.names[2:]],
             )
 
-    return docs.mapInArrow(run, "block long, doc_id long, body binary")
+    schema = T.StructType().add("block", "long").add("doc_id", "long").add("body", "binary")
+    return docs.mapInArrow(run, T.StructType([*schema.fields, *docs.schema.fields[2:]]))
 
 
 def deduplicate(
     docs: DataFrame, window: int = 13, group_suffixes: int = 1_000_000, block_words: int = 2_000_000, with_text: bool = True,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Remove the words of every run of ``window`` words that also starts in a document with a smaller id.
 
@@ -258,15 +248,17 @@ def deduplicate(
     Null text has no words and stays null, empty text stays empty. A null id is above all
     others and takes nothing from other null ids. Rows that repeat an id are documents of their
     own that take nothing from each other (they are told apart by 16 bits of a checksum of the
-    text). An empty table gives no rows, other columns are ignored.
+    text). An empty table gives no rows. The columns to ``carry`` come along unchanged, other
+    ones are ignored.
     """
-    bare = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    bare = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carry)
+    own = bare.select("doc_id", "text")
     spark = docs.sparkSession
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counts = prefix_counts(bare, window)
+    counts = prefix_counts(own, window)
     total = int(counts[0].sum())
     groups, blocks = max(least, -(-total // group_suffixes)), max(least, -(-total // block_words))
-    found = repeats(suffixes(bare, window, counts, group_suffixes // 4, groups, blocks), blocks)
+    found = repeats(suffixes(own, window, counts, group_suffixes // 4, groups, blocks), blocks)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         places: dict[tuple[int, int], list[np.ndarray]] = {}
@@ -297,6 +289,9 @@ def deduplicate(
             digest = hashlib.sha256(b" ".join(words)).hexdigest()
             out.append((doc_id, len(words) + n_removed, n_removed, digest, spans, kept))
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), _SPANS, pa.string())
-        return pa.table([pa.array([x[k] for x in out], t) for k, t in enumerate(kinds)], [x.split()[0] for x in _RESULT.split(", ")])
+        columns = [pa.array([x[k] for x in out], t) for k, t in enumerate(kinds)]
+        return pa.table([*columns, *left.columns[3:]], [*names, *left.column_names[3:]])
 
-    return _blocks_of(bare, blocks).groupBy("block").cogroup(found.groupBy("block")).applyInArrow(run, _RESULT)
+    schema = T.StructType([*spark.createDataFrame([], _RESULT).schema.fields, *bare.schema.fields[2:]])
+    names = schema.names[:6]
+    return _blocks_of(bare, blocks).groupBy("block").cogroup(found.groupBy("block")).applyInArrow(run, schema)
