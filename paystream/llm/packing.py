@@ -113,13 +113,18 @@ def sequence_lengths(tokens: int, capacity: int) -> list[int]:
     return [capacity] * (tokens // capacity) + [1 << b for b in reversed(range(rest.bit_length())) if rest >> b & 1]
 
 
-def assign(lengths: list[int], capacity: int, linear: float, quadratic: float) -> list[list[tuple[int, int, int]]]:
+def assign(
+    lengths: list[int], capacity: int, linear: float, quadratic: float, longest: int | None = None
+) -> list[list[tuple[int, int, int]]]:
     """Cut and place documents; returns for each sequence its pieces (document, start, length).
 
     The costliest open piece goes to the sequence that has cost least so far and has room. What
     does not fit there is cut off and waits its turn as a piece of its own. Attention is paid
-    within a piece, so a piece costs ``linear * n + quadratic * n * n``.
+    within a piece, so a piece costs ``linear * n + quadratic * n * n``. Pieces are at most
+    ``longest`` tokens (half a sequence unless given), else sequences of one piece would cost
+    more than any mix can.
     """
+    longest = longest or max(1, capacity // 2)
     sizes = sequence_lengths(sum(lengths), capacity)
     placed: list[list[tuple[int, int, int]]] = [[] for _ in sizes]
     open_sequences = [(0.0, k, size) for k, size in enumerate(sizes)]
@@ -128,7 +133,7 @@ def assign(lengths: list[int], capacity: int, linear: float, quadratic: float) -
     while pieces:
         negative, doc, start = heapq.heappop(pieces)
         cost, k, room = open_sequences[0]
-        n = min(-negative, room)
+        n = min(-negative, room, longest)
         placed[k].append((doc, start, n))
         if room > n:
             heapq.heapreplace(open_sequences, (cost + linear * n + quadratic * n * n, k, room - n))
