@@ -6,8 +6,8 @@ least hash of a bin is its value, and an empty bin borrows from a bin drawn by a
 until one is found that is not empty (optimal densification). Equal bands of the signature make
 a bucket. In a bucket, only edges from a few centers to the other members are candidates, which
 are then confirmed on the full texts; buckets whose members still lie in different components
-get four times as many centers in the next round, until all their pairs across components have been
-tried. Components are found by alternating large and small stars.
+get more centers in the next round, until all their pairs across components have been tried.
+Components are found by alternating large and small stars.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paystream.llm.common import texts_of
@@ -27,6 +27,9 @@ from paystream.session import work_dir
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _SKETCH = "doc_id long, n_shingles long, print_a long, print_b long, bands array<long>"
 
+#: Shingles a task holds while it confirms.
+_HELD = 1_000_000
+
 
 def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
     """Distinct hashes, in order, of the runs of ``width`` words; fewer words are one run."""
@@ -112,31 +115,40 @@ def bodies(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, body binary")
 
 
-def _shingle_set(body: bytes, width: int) -> set[tuple[bytes, ...]]:
+def _shingle_set(body: bytes, width: int) -> frozenset[bytes]:
+    """The shingles, each as its words with a blank between them."""
     words = zstandard.ZstdDecompressor().decompress(body).translate(_LOWER).split()
     if len(words) < width:
-        return {tuple(words)} if words else set()
-    return set(zip(*(words[k:] for k in range(width))))
+        return frozenset([b" ".join(words)] if words else [])
+    return frozenset(map(b" ".join, zip(*(words[k:] for k in range(width)))))
 
 
 def confirm(edges: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Edges (a, b) whose texts share at least ``percent`` hundredths of all their shingles."""
+    """Edges (a, b) whose texts share at least ``percent`` hundredths of all their shingles.
+
+    Texts that come again in a task, as the members of large groups do, are taken apart once:
+    a bounded number of shingles is held.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        center, members = None, set()
+        known: dict[int, frozenset] = {}
+        held = 0
         for batch in batches:
-            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
             keep = []
-            for k, (x, one, other) in enumerate(zip(a, batch.column("body_a"), batch.column("body_b"))):
-                if x != center:
-                    center, members = x, _shingle_set(one.as_py(), width)
-                own = _shingle_set(other.as_py(), width)
-                common = len(members & own)
-                if 100 * common >= percent * (len(members) + len(own) - common):
+            pairs = zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), batch.column("body_a"), batch.column("body_b"))
+            for k, (a, b, body_a, body_b) in enumerate(pairs):
+                if held > _HELD:
+                    known.clear()
+                    held = 0
+                for name, body in ((a, body_a), (b, body_b)):
+                    if name not in known:
+                        known[name] = _shingle_set(body.as_py(), width)
+                        held += len(known[name])
+                one, other = known[a], known[b]
+                common = len(one & other)
+                if 100 * common >= percent * (len(one) + len(other) - common):
                     keep.append(k)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([a[k] for k in keep], pa.int64()), pa.array([b[k] for k in keep], pa.int64())], ["a", "b"]
-            )
+            yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
     first = texts.select(F.col("doc_id").alias("a"), F.col("body").alias("body_a"))
     second = texts.select(F.col("doc_id").alias("b"), F.col("body").alias("body_b"))
@@ -171,38 +183,108 @@ def components(edges: DataFrame, name: str = "component") -> DataFrame:
         now = _saved(small.distinct(), "edges")
 
 
+def _prefixes(texts: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFrame:
+    """Postings of the rarest shingles of each of ``reps``: bucket, rep, n, shared.
+
+    With shingles in the order of how many of ``reps`` have them, two sets that are linked have
+    their first common shingle among the first ``n - percent * n + 1`` of each, and from there
+    on enough others for the link. ``bucket`` is the shingle, ``shared`` the number of shingles
+    from it on.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpress = zstandard.ZstdDecompressor()
+        for batch in batches:
+            plain = [unpress.decompress(x.as_py()).translate(_LOWER) for x in batch.column("body")]
+            words, starts = word_hashes(plain)
+            found = [shingle_hashes(words[starts[k]:starts[k + 1]], width).view("i8") for k in range(len(plain))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.list_(pa.int64()))], ["rep", "shingles"])
+
+    sets = texts.join(reps, F.col("doc_id") == F.col("rep"), "left_semi").mapInArrow(run, "rep long, shingles array<long>")
+    own = sets.select("rep", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("bucket"))
+    often = own.groupBy("bucket").agg(F.count("*").alias("often"))
+    place = F.row_number().over(Window.partitionBy("rep").orderBy("often", "bucket"))
+    return own.join(often, "bucket").withColumn("place", place).where("often > 1").where(
+        F.col("place") * 100 <= F.col("n") * (100 - percent) + 100
+    ).select("bucket", "rep", "n", (F.col("n") - F.col("place") + 1).alias("shared"))
+
+
+def _peel(members: DataFrame, reach: float) -> DataFrame:
+    """Members of buckets that may have a link to a member of another component there.
+
+    A link needs ``n + n' <= reach * shared``: the common shingles must be enough for the two
+    sizes. n' is at least the least size that members of other components have.
+    """
+    per = members.groupBy("bucket", "part").agg(F.min("n").alias("m"))
+    one = per.groupBy("bucket").agg(F.min(F.struct("m", "part")).alias("one")).select("bucket", F.col("one.m").alias("m_one"), F.col("one.part").alias("p_one"))
+    two = per.join(one, "bucket").where("part <> p_one").groupBy("bucket").agg(F.min("m").alias("m_two"), F.min("m_one").alias("m_one"), F.min("p_one").alias("p_one"))
+    other = F.when(F.col("part") == F.col("p_one"), F.col("m_two")).otherwise(F.col("m_one"))
+    return members.join(two, "bucket").where(F.col("n") + other <= reach * F.col("shared")).select(*members.columns)
+
+
 def _links(members: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Components of the classes in ``members`` (bucket, rep): node, component."""
-    edges, centers = None, 1
-    label = members.sparkSession.createDataFrame([], "node long, component long")
-    open_members = members
+    """Components of the classes in ``members`` (bucket, rep, size of its set): node, component.
+
+    Centers are first the least member of each bucket, then the one with most links so far.
+    Members of buckets that still hold several components are then dealt out anew, by their
+    rarest shingles. A copy with edits of its own meets few others there, whereas it shared
+    bands with all its group; and members that can't have enough in common with any member of
+    another component are settled by counting. What is left gets 16, 256, ... drawn centers
+    until all pairs have been tried. Pairs that were tried, are in one component already, or
+    can't be linked by their counts are not tried.
+    """
+    spark = members.sparkSession
+    reach = (100 + percent) / percent + 1e-9
+    edges, tried = None, None
+    label = spark.createDataFrame([], "node long, component long")
+    open_members, rounds = members.withColumn("links", F.lit(0).cast("long")).withColumn("shared", F.col("n")), 0
+    columns = ["bucket", "rep", "n", "links", "shared"]
     while True:
-        # Buckets with members of several components, their size and the least member.
-        at = open_members.select("bucket", "rep").join(label, F.col("rep") == F.col("node"), "left").select(
-            "bucket", "rep", F.coalesce("component", "rep").alias("part")
+        at = open_members.select(*columns).join(label, F.col("rep") == F.col("node"), "left").select(
+            *columns, F.coalesce("component", "rep").alias("part")
         )
+        if rounds == 2:
+            reps = _saved(_peel(at, reach).groupBy("rep").agg(F.min("part").alias("part")), "open")
+            dealt = _prefixes(texts, reps.select("rep"), width, percent).join(reps, "rep")
+            at = _saved(dealt.withColumn("links", F.lit(0).cast("long")).select(*columns, "part"), "prefixes")
+        if rounds >= 2:
+            at = _peel(_saved(_peel(at, reach), "peeled"), reach)
+        best = F.max(F.struct("links", (-F.col("rep")).alias("rep")))["rep"]
         mixed = at.groupBy("bucket").agg(
-            F.min("rep").alias("least"), F.count("*").alias("size"), F.min("part").alias("low"), F.max("part").alias("high")
-        ).where("low < high").select("bucket", "least", "size")
-        # Smaller ones have tried all pairs: each pair has its least member, or a center each.
-        tried = {1: 1, 4: 2}.get(centers, centers // 4)
-        mixed = mixed.where(F.col("size") > tried)
+            F.count("*").alias("size"), F.min("part").alias("low"), F.max("part").alias("high"), (-best).alias("hub")
+        ).where("low < high").select("bucket", "size", "hub")
+        if rounds:
+            # Buckets that were smaller have tried all pairs.
+            mixed = mixed.where(F.col("size") > (1 if rounds >= 2 else 2))
         open_members = _saved(at.join(mixed, "bucket"), "buckets")
         if open_members.isEmpty():
             return label
-        draw = F.pmod(F.xxhash64("rep", "bucket"), F.lit(1 << 30)) / float(1 << 30)
-        if centers == 1:
-            center = F.col("rep") == F.col("least")
+        if rounds <= 1:  # without links, the hub is the least
+            center = F.col("rep") == F.col("hub")
         else:
+            centers = 16 ** (rounds - 1)
+            draw = F.pmod(F.xxhash64("rep", "bucket"), F.lit(1 << 30)) / float(1 << 30)
             center = (F.col("size") <= centers) | (draw < F.lit(float(centers)) / F.col("size"))
-        stars = open_members.where(center).select("bucket", F.col("rep").alias("a"), F.col("part").alias("part_a"))
-        pairs = stars.join(open_members, "bucket").where("part <> part_a").select(
-            F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")
-        ).distinct()
+        stars = open_members.where(center).select(
+            "bucket", F.col("rep").alias("a"), F.col("part").alias("part_a"), F.col("n").alias("n_a"), F.col("shared").alias("shared_a")
+        )
+        pairs = stars.join(open_members, "bucket").where("part <> part_a").where(
+            F.col("n") + F.col("n_a") <= reach * F.least("shared", "shared_a")
+        ).select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct()
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = _saved(pairs, "pairs")
+        tried = pairs if tried is None else tried.union(pairs)
         found = _saved(confirm(pairs, texts, width, percent), "links")
-        edges = found if edges is None else edges.union(found)
-        label = components(edges)
-        centers *= 4
+        if not found.isEmpty():
+            edges = found if edges is None else edges.union(found)
+            label = components(edges)
+        if not rounds and edges is not None:
+            degree = edges.select(F.col("a").alias("rep")).union(edges.select("b")).groupBy("rep").count()
+            open_members = open_members.drop("links").join(degree, "rep", "left").withColumn("links", F.coalesce("count", F.lit(0).cast("long")))
+        if rounds >= 2:  # these have tried all pairs
+            open_members = open_members.where(F.col("size") > centers)
+        rounds += 1
 
 
 def near_duplicates(
@@ -227,9 +309,9 @@ def near_duplicates(
         known.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*key).agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands")),
         "classes",
     )
-    spread = classes.select("rep", F.explode("bands").alias("bucket"))
+    spread = classes.select("rep", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
     shared = spread.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    members = _saved(spread.join(shared, "bucket").select("bucket", "rep"), "members")
+    members = _saved(spread.join(shared, "bucket").select("bucket", "rep", "n"), "members")
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     texts = _saved(bodies(docs).join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "bodies")
     label = _links(members, texts, width, percent)
