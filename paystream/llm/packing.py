@@ -20,8 +20,8 @@ PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
     "offset long, sequence_length long, sequence_cost double"
 )
-_CACHED_WORDS = 600_000
-_GROUP_WORDS = 100_000
+_CACHED_WORDS = 1_400_000
+_GROUP_WORDS = 200_000
 _ENDS = b".,!?;:%&$*#"
 _ENDED = re.compile(rb"[a-z][.,!?;:%&$*#]+$")
 _ENCODERS: dict[str, "_Encoder"] = {}
@@ -73,7 +73,7 @@ class _Encoder:
                     bare = core.rstrip(_ENDS)
                     core, ends = bare, core[len(bare):]
             split[word] = core, ends
-        new = list({x for pair in split.values() for x in pair if x} - self.cores.keys())
+        new = list({x for pair in split.values() for x in pair if x}.difference(self.cores))
         for i in range(0, len(new), 2048):
             part = new[i:i + 2048]
             self.cores.update(zip(part, self._many(part)))
@@ -87,7 +87,7 @@ class _Encoder:
             held.append(text.encode().split())
             size += len(held[-1])
             if size >= _GROUP_WORDS or k == len(texts) - 1:
-                missing = set().union(*held) - self.words.keys()
+                missing = set().union(*held).difference(self.words)
                 if len(self.words) + len(missing) > _CACHED_WORDS:
                     self.words.clear()
                     self.cores.clear()
