@@ -46,7 +46,8 @@ def is_single_json(text: str, parsed: str) -> str:
 
 def read_in_array(text: str, schema: str) -> str:
     """``text`` read as the only element of an array of structs; NULL or short if it is not."""
-    strict = "map('allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false')"
+    # NaN and infinities may stand in fields nobody reads; as a declared value they are no number.
+    strict = "map('allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'true')"
     return f"from_json(concat('[', {text}, ']'), 'array<{schema}>', {strict})"
 
 

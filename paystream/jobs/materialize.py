@@ -8,8 +8,8 @@ from collections.abc import Sequence
 
 from paystream.config import AGGREGATES_GROUP, AGGREGATES_TOPIC, bootstrap_servers
 from paystream.session import builder, stream_session
-from paystream.sources.records import bounded, kafka_source_options, read_log, read_topic
-from paystream.sources.table import TABLE_NAME, create_table, materialize
+from paystream.sources.records import kafka_source_options, read_log, read_topic
+from paystream.sources.table import TABLE_NAME, create_table, materialize_next
 from paystream.streaming.fast import table_writer
 
 
@@ -21,7 +21,7 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--max-messages", type=int, help="stop after so many records")
     parser.add_argument("--path", help="folder of file logs to use in place of a broker")
     parser.add_argument("--checkpoint", help="folder of the checkpoint, needed to stream")
-    parser.add_argument("--run", default="stream", help="new name for each new checkpoint")
+    parser.add_argument("--per-batch", type=int, help="most records (files) of a micro-batch")
     return parser.parse_args(argv)
 
 
@@ -33,15 +33,15 @@ def run(args: argparse.Namespace) -> None:
     session = stream_session(spark)
     create_table(session, args.table_path)
     if args.path:
-        records = read_log(session, f"{args.path}/{args.topic}", stream)
+        records = read_log(session, f"{args.path}/{args.topic}", stream, args.per_batch)
     else:
         servers = bootstrap_servers(args.bootstrap_servers)
-        options = kafka_source_options(servers, args.topic, AGGREGATES_GROUP)
+        options = kafka_source_options(servers, args.topic, AGGREGATES_GROUP, args.per_batch)
         records = read_topic(session, options, stream)
     if not stream:
-        materialize(bounded(records, args.max_messages), args.table_path, "bounded", 0)
+        materialize_next(records, args.table_path, args.max_messages)
         return
-    table_writer(records, args.table_path, args.run, args.checkpoint).start().awaitTermination()
+    table_writer(records, args.table_path, args.checkpoint).start().awaitTermination()
 
 
 def main(argv: Sequence[str] | None = None) -> int:

@@ -46,6 +46,7 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--checkpoint", help="folder of the checkpoints, needed to stream")
     parser.add_argument("--exact", action="store_true", help="publish each pane of each window")
     parser.add_argument("--state-partitions", type=int, help="fixed for a checkpoint's life")
+    parser.add_argument("--per-batch", type=int, help="most records (files) of a micro-batch")
     return parser.parse_args(argv)
 
 
@@ -62,8 +63,8 @@ class Logs:
 
     def read(self, topic: str, stream: bool, group: str) -> DataFrame:
         if self.args.path:
-            return read_log(self.spark, f"{self.args.path}/{topic}", stream)
-        options = kafka_source_options(self.servers, topic, group)
+            return read_log(self.spark, f"{self.args.path}/{topic}", stream, self.args.per_batch)
+        options = kafka_source_options(self.servers, topic, group, self.args.per_batch)
         return read_topic(self.spark, options, stream)
 
     def write(self, records: DataFrame, topic: str) -> None:

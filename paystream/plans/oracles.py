@@ -280,6 +280,16 @@ ORACLES: dict[str, str] = {
     "upsert_stream": _with(_LOG, _VERSIONS) + f"""
         SELECT {_COLUMNS} FROM numbered
         QUALIFY row_number() OVER (PARTITION BY aggregate_key ORDER BY "offset" DESC) = 1""",
+    "upsert_resume": _with(_LOG, _VERSIONS) + f"""
+        SELECT {_COLUMNS} FROM numbered
+        QUALIFY row_number() OVER (PARTITION BY aggregate_key ORDER BY "offset" DESC) = 1""",
+    "lateness_default": _with(_LOG) + """,
+        accepted AS (
+          SELECT DISTINCT event_id, merchant_id, amount, i % 180 // 60 AS minute FROM confirmed
+          WHERE "offset" % 11 NOT IN (1, 2, 3, 4) OR ("offset" % 11 = 1 AND i % 180 >= 120))
+        SELECT merchant_id, '2026-01-01T12:0' || minute || ':00.000Z' AS window_start,
+          count(*) AS transaction_count, sum(amount)::BIGINT AS total_amount_pyg
+        FROM accepted GROUP BY ALL""",
     "window_agg_stream_final": _with(_LOG, _windows("copy = 0 AND i % 53 <> 0")) + f"""
         SELECT {_COLUMNS} FROM windows""",
     "window_agg_stream_update": _with(_LOG, f"""

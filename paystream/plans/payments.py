@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from paystream.config import EVENTS_TOPIC
 from paystream.session import configure
-from paystream.sources.records import spread
 
 # Divisor of the event id -> fault; the first that divides counts.
 FAULTS = {
@@ -55,7 +54,7 @@ def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     for divisor, name in reversed(FAULTS.items()):
         fault = F.when(i % divisor == 0, name).otherwise(fault)
     columns = ["event_id", "ts", "user_id", "event_type", "value"]
-    return spread(load(spark, sf_dir, "events").select(*columns)).select(
+    return load(spark, sf_dir, "events").select(*columns).select(
         i.alias("i"),
         F.concat(F.lit("evt-"), i).alias("event_id"),
         F.timestamp_micros(F.expr(event_us)).alias("event_ts"),

@@ -37,6 +37,7 @@ from paystream.sources.table import (
     create_table,
     current_rows,
     materialize,
+    materialize_next,
     store_versions,
     stored_versions,
 )
@@ -45,6 +46,7 @@ from paystream.streaming.fast import (
     PAYMENT_COLUMNS,
     aggregate_stream,
     dead_letter_stream,
+    deduplicate_stream,
     table_writer,
 )
 from paystream.streaming.replay import Replay
@@ -216,11 +218,36 @@ def upsert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     replay = Replay(spark, "upsert")
     replay.run(
         (log.filter(F.col("n") == n).select(*columns) for n in (1, 2, 3)),
-        lambda stream, out, checkpoint: table_writer(stream, out, "replay", checkpoint),
+        table_writer,
     )
     return current_rows(spark, replay.output)
 
 
+def upsert_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table filled by bounded runs, each going on where the last one ended.
+
+    The second run meets broken records and must leave everything as it was.
+    """
+    columns = ["key", "value", "topic", "partition", "offset", "timestamp"]
+    log = _aggregate_log(spark, sf_dir).select(*columns)
+    path = work_dir(spark, "resume")
+    create_table(spark, path)
+    part = log.count() // 3
+    materialize_next(log, path, part)
+    before = stored_versions(spark, path).count()
+    broken = F.when(F.col("offset") % 5 == 1, F.lit("{").cast("binary")).otherwise(F.col("value"))
+    try:
+        materialize_next(log.withColumn("value", broken), path, part)
+    except Exception as error:
+        if "syntax:value" not in str(error) or stored_versions(spark, path).count() != before:
+            raise
+    else:
+        raise AssertionError("broken records were stored")
+    materialize_next(log, path, part)
+    materialize_next(log, path)
+    return current_rows(spark, path)
+
+
 def reconcile_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table that misses some rows, has others extra and some out of date, against its log."""
     versions = check_aggregates(_aggregate_log(spark, sf_dir)).select(
@@ -366,6 +393,39 @@ def late_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(dropped,)], "dropped BIGINT")
 
 
+def lateness_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default settings at the limit of lateness, with all payments and copies in three minutes.
+
+    The clock then stands 119, 120, 121 and 170 seconds after the last window, and at each point
+    some payments of all three windows arrive. Only those of the last window at 119 count.
+    """
+    source = F.floor(F.col("offset") / 2) - F.col("offset") % 2 * COPY_DELAY
+    start = F.lit("2026-01-01 12:00:00").cast("timestamp")
+
+    def at(seconds: Column) -> Column:
+        return F.timestamp_micros(F.unix_micros(start) + seconds.cast("long") * 1_000_000)
+
+    rows = _payments(spark, sf_dir).withColumn("event_ts", at(source % 180))
+
+    def tick(after: int) -> DataFrame:
+        return _tick(spark, sf_dir, after).withColumn("event_ts", at(F.lit(180 + after)))
+
+    step = F.col("offset") % 11
+    steps = [rows.filter(~step.isin(1, 2, 3, 4))]
+    for number, after in enumerate((119, 120, 121, 170), 1):
+        steps += [tick(after), rows.filter(step == number)]
+    replay = Replay(spark, "lateness")
+    replay.run(
+        [*steps, tick(600)],
+        lambda stream, out, checkpoint: log_writer(
+            to_table_types(label_windows(aggregate_windows(deduplicate_stream(stream)))), out, checkpoint
+        ),
+    )
+    return spark.read.parquet(replay.output).filter(F.col("merchant_id") != TICK).select(
+        "merchant_id", "window_start", "transaction_count", "total_amount_pyg"
+    )
+
+
 def window_agg_stream_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stream in update mode: accumulating versions into the table, the last one counts.
 
@@ -510,6 +570,8 @@ QUERIES: dict[str, Query] = {
     "published_events": published_events,
     "dlq_stream": dlq_stream,
     "upsert_stream": upsert_stream,
+    "upsert_resume": upsert_resume,
+    "lateness_default": lateness_default,
     "window_agg_stream_final": window_agg_stream_final,
     "window_agg_stream_update": window_agg_stream_update,
     "late_dropped": late_dropped,

@@ -43,14 +43,14 @@ def stream_session(spark: SparkSession, partitions: int | None = None) -> SparkS
     """A sibling session for one stateful stream.
 
     The number of state partitions is fixed for the life of a checkpoint and AQE does not
-    coalesce them, so it is set here: one per core unless given.
+    coalesce them. It is what is given, else what the session's own setting says; the number of
+    cores, which differs from start to start, plays no part.
     """
     sibling = configure(spark.newSession())
     for key, value in STREAM_CONF.items():
         sibling.conf.set(key, value)
-    sibling.conf.set(
-        "spark.sql.shuffle.partitions", str(partitions or spark.sparkContext.defaultParallelism)
-    )
+    own = spark.conf.get("spark.sql.shuffle.partitions")
+    sibling.conf.set("spark.sql.shuffle.partitions", str(partitions or own))
     return sibling
 
 
@@ -58,10 +58,12 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A new path for intermediate tables and checkpoints.
 
     It lies in the shared folder the cluster names in ``spark.checkpoint.dir``. Only where that
-    is unset (tests, a laptop) a temporary folder takes its place.
+    is unset and the session is local (tests, a laptop) a temporary folder takes its place.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="paystream-")
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/paystream/{name}-{uuid.uuid4().hex}"

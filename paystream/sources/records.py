@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -19,7 +21,8 @@ def kafka_source_options(
         "startingOffsets": "earliest",
     }
     if group:
-        options["kafka.group.id"] = group
+        # A prefix: queries of one job on one topic must not share a group.
+        options["groupIdPrefix"] = group
     if per_batch:
         options["maxOffsetsPerTrigger"] = str(per_batch)
     return options
@@ -49,27 +52,40 @@ def read_log(
     return reader.parquet(path)
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Distribute an input of fewer splits than there are cores; leave any larger one alone.
-
-    Parsing is by far the dearest step, and a file of a few megabytes is read by a single task.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def bounded(log: DataFrame, records: int | None) -> DataFrame:
-    """The first ``records`` records by partition and offset, for a trial run; None for all."""
-    return log if records is None else log.orderBy("partition", "offset").limit(records)
-
+    """The first ``records`` records by partition and offset, for a trial run; None for all.
 
-def keyed_records(events: DataFrame, key: str = "key") -> DataFrame:
-    """Event rows as record key (UTF-8) and JSON value. A key that is no string is refused."""
+    A filter on the log, so whatever comes next runs on as many tasks as the log has: counts per
+    partition tell where the run ends, and in that partition the last offset is looked up.
+    Offsets of a partition must differ.
+    """
+    if records is None:
+        return log
+    left = records
+    for row in log.groupBy("partition").count().orderBy("partition").collect():
+        if row["count"] <= left:
+            left -= row["count"]
+            continue
+        own = log.where(F.col("partition") == row["partition"]).select("offset")
+        last = own.orderBy("offset").limit(left).agg(F.max("offset")).first()[0] if left else None
+        inside = F.col("partition") < row["partition"]
+        if last is not None:
+            inside |= (F.col("partition") == row["partition"]) & (F.col("offset") <= last)
+        return log.where(inside)
+    return log
+
+
+def keyed_records(events: DataFrame, key: str = "key", beside: Sequence[str] = ()) -> DataFrame:
+    """Event rows as record key (UTF-8) and JSON value. A key that is no string is refused.
+
+    Columns ``beside`` the record stay what they are and don't enter the value.
+    """
     if dict(events.dtypes)[key] != "string":
         raise TypeError(f"record key {key!r} must be a string column")
     return events.select(
         F.col(key).cast("binary").alias("key"),
-        F.to_json(F.struct(*events.columns)).cast("binary").alias("value"),
+        F.to_json(F.struct(*(c for c in events.columns if c not in beside))).cast("binary").alias("value"),
+        *beside,
     )
 
 

@@ -1,18 +1,22 @@
 """The stored aggregates: an upsert by key as appended versions, the latest of which counts.
 
-Each batch writes only its own rows, into its own folder, and overwrites that folder when it is
-replayed. So a replay changes nothing, a failed write leaves the table as it was, and no batch
-rewrites what earlier ones stored. Where a table format with MERGE INTO is at hand, use that.
+Each batch writes only its own rows, under a name readers pass over, and gets its own folder by
+one rename when it is complete. A folder that is there is never written again: a replay finds it
+and changes nothing, a failed write leaves the table as it was. Where a table format with MERGE
+INTO is at hand, use that.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paystream.operators.aggregate_contract import check_aggregates
 from paystream.operators.latest import latest_per_key
 from paystream.schemas import AGGREGATE_COLUMNS, VERSIONS
+from paystream.sources.records import bounded
 
 TABLE_NAME = "merchant_window_aggregates"
 
@@ -34,17 +38,25 @@ def checked_rows(records: DataFrame) -> DataFrame:
 
 
 def store_versions(rows: DataFrame, path: str, run: str, batch_id: int) -> None:
-    """Write one batch of rows ``(aggregate columns, version)``; replacing it if it is there.
+    """Write one batch of rows ``(aggregate columns, version)``, unless it is there already.
 
-    ``run`` names the stream that numbers the batches, so a stream that starts over never writes
-    into the folders of its predecessor. A window start that is no date, which the contract
-    allows, goes into the folder without one.
+    ``run`` names whatever numbers the batches: a checkpoint, or a single run. A window start
+    that is no date, which the contract allows, goes into the folder without one.
     """
+    spark = rows.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(f"{path}/run={run}/batch_id={batch_id}")
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(target):
+        return
+    staged = f"{path}/_staged/{uuid.uuid4().hex}"
     (
         rows.withColumn("window_date", F.substring("window_start", 1, 10).try_cast("date"))
-        .write.mode("overwrite").partitionBy("window_date")
-        .parquet(f"{path}/run={run}/batch_id={batch_id}")
+        .write.partitionBy("window_date").parquet(staged)
     )
+    files.mkdirs(target.getParent())
+    if not files.rename(hadoop.Path(staged), target):
+        raise OSError(f"{target} could not be put in place")
 
 
 def materialize(records: DataFrame, path: str, run: str, batch_id: int) -> None:
@@ -52,6 +64,27 @@ def materialize(records: DataFrame, path: str, run: str, batch_id: int) -> None:
     store_versions(checked_rows(records), path, run, batch_id)
 
 
+def materialize_next(records: DataFrame, path: str, most: int | None = None) -> None:
+    """Store the first ``most`` records that no earlier run of this kind has stored.
+
+    The rows come first, the offsets after them: a run that stops in between reads its records
+    again, which changes nothing, and one that fails leaves both as they were.
+    """
+    spark = records.sparkSession
+    log = f"{path}/_progress"
+    place = spark._jvm.org.apache.hadoop.fs.Path(log)
+    known = place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+    rest = records
+    if known:
+        done = spark.read.parquet(log).groupBy("topic", "partition").agg(F.max("next").alias("next"))
+        rest = records.join(F.broadcast(done), ["topic", "partition"], "left").where(
+            "offset >= coalesce(next, offset)"
+        ).select(*records.columns)
+    part = bounded(rest, most)
+    materialize(part, path, f"bounded-{uuid.uuid4().hex}", 0)
+    part.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next")).coalesce(1).write.mode("append").parquet(log)
+
+
 def stored_versions(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(VERSIONS).parquet(path)
 

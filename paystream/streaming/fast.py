@@ -55,11 +55,11 @@ def dead_letter_stream(records: DataFrame) -> DataFrame:
 
 
 def deduplicate_stream(payments: DataFrame, config: StreamConfig = DEFAULT) -> DataFrame:
-    """At most one event per id within the horizon.
+    """At most one event per id while its window is open; the time becomes that of the window.
 
-    The watermark is delayed by the whole horizon: with less, rows would be refused while their
-    window is still open. Ids are remembered, and windows stay open, somewhat longer than asked
-    (see the README); the operators in :mod:`paystream.streaming.exact` are to the second.
+    The watermark lags by the lateness and no more, and rows carry the last instant of their
+    window as event time. So a payment is accepted as long as its window is, which ends exactly
+    the lateness after the window; with its own time it would be refused while that is open.
     """
     combined = combine_copies(
         payments.select("event_id", F.unix_micros("event_ts").alias("event_us"),
@@ -67,7 +67,10 @@ def deduplicate_stream(payments: DataFrame, config: StreamConfig = DEFAULT) -> D
     )
     return (
         combined.withColumn("event_ts", F.timestamp_micros("event_us"))
-        .withWatermark("event_ts", config.horizon)
+        .withWatermark("event_ts", config.lateness)
+        .withColumn("in_window", F.window("event_ts", config.window))
+        .select("event_id", "merchant_id", "amount", "partition", "offset",
+                F.window_time("in_window").alias("event_ts"))
         .dropDuplicatesWithinWatermark(["event_id"])
     )
 
@@ -90,14 +93,15 @@ def only_plausible(payments: DataFrame, log_time: str, max_ahead: str) -> DataFr
     return payments.filter(F.col("event_ts") <= F.col(log_time) + F.expr(f"INTERVAL {max_ahead}"))
 
 
-def table_writer(aggregates: DataFrame, path: str, run: str, checkpoint: str) -> DataStreamWriter:
+def table_writer(aggregates: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     """Stream aggregate records into the stored table.
 
     A micro-batch is stored whole or not at all: a record that breaks the contract stops the
-    query, and the batch is read again after a restart. ``run`` names this checkpoint; a new
-    checkpoint needs a new name.
+    query, and the batch is read again after a restart. Batches are named by the query's id,
+    which belongs to its checkpoint, so a new checkpoint never meets the batches of an old one.
     """
     def store(batch: DataFrame, batch_id: int) -> None:
-        materialize(batch, path, run, batch_id)
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        materialize(batch, path, f"stream-{run}", batch_id)
 
     return aggregates.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)

@@ -26,7 +26,7 @@ from paystream.sources.records import (
     write_log,
 )
 from paystream.sources.table import current_rows
-from tests.helpers import demo_events, event, records
+from tests.helpers import aggregate, demo_events, event, records
 
 
 def _events(frame):
@@ -109,7 +109,7 @@ def test_source_options():
     options = kafka_source_options("host:1", "topic", "group", 500)
     assert options == {
         "kafka.bootstrap.servers": "host:1", "subscribe": "topic", "startingOffsets": "earliest",
-        "kafka.group.id": "group", "maxOffsetsPerTrigger": "500",
+        "groupIdPrefix": "group", "maxOffsetsPerTrigger": "500",
     }
 
 
@@ -182,6 +182,34 @@ def test_streaming_job(spark, mode):
     assert [(r.transaction_count, r.total_amount_pyg) for r in rows] == [(3, 30_000)]
 
 
+def test_bounded_runs_go_on_where_the_last_one_ended(spark, capsys):
+    path = work_dir(spark, "test-resume")
+    values = [aggregate(f"merchant-00{n}") for n in range(1, 8)]
+    log = records(spark, values, [v["key"].encode() for v in values])
+    write_log(log, f"{path}/{AGGREGATES_TOPIC}")
+    args = ["--path", path, "--table-path", f"{path}/table", "--max-messages"]
+
+    def stored():
+        return sorted(r.merchant_id[-1] for r in current_rows(spark, f"{path}/table").collect())
+
+    assert materialize.main([*args, "5"]) == 0 and stored() == list("12345")
+    assert materialize.main([*args, "1"]) == 0 and stored() == list("123456")
+    write_log(records(spark, ["{broken"]).withColumn("offset", F.lit(7).cast("long")), f"{path}/{AGGREGATES_TOPIC}")
+    assert materialize.main([*args, "9"]) == 1 and stored() == list("123456")
+    assert materialize.main([*args, "1"]) == 0 and stored() == list("1234567")
+    assert "syntax:value" in capsys.readouterr().err
+
+
+def test_generated_logs_have_sound_positions(spark):
+    path = work_dir(spark, "test-positions")
+    for _ in range(2):
+        assert generate.main(["--scenario", "demo", "--count", "100", "--path", path]) == 0
+    log = read_log(spark, f"{path}/{DEFAULT.events_topic}")
+    assert log.count() == 220
+    assert log.select("partition", "offset").distinct().count() == 220
+    assert log.groupBy("key").agg(F.count_distinct("partition").alias("n")).where("n > 1").count() == 0
+
+
 def test_bad_aggregate_ends_the_job_with_an_error(spark, capsys):
     path = work_dir(spark, "test-poison")
     write_log(records(spark, ["{not valid json"]), f"{path}/{AGGREGATES_TOPIC}")

@@ -19,7 +19,7 @@ from paystream.operators.windows import (
     to_table_types,
 )
 from paystream.session import work_dir
-from paystream.sources.records import log_writer, read_log, spread, stamped, write_log
+from paystream.sources.records import log_writer, read_log, stamped, write_log
 from paystream.sources.table import create_table, current_rows, store_versions
 from paystream.streaming.exact import deduplicate_exactly, panes, with_event_clock
 from paystream.streaming.fast import (
@@ -191,6 +191,19 @@ def test_late_within_lateness_is_counted(spark):
     assert rows == [("12:00", 2, 10_001)]
 
 
+@pytest.mark.parametrize("clock, counted", [
+    ("12:02:59", 2), ("12:03:00", 1), ("12:03:01", 1), ("12:03:30", 1)])
+def test_limit_of_lateness(spark, clock, counted):
+    """A window that ends at 12:01:00 takes late payments while the clock is before 12:03:00."""
+    rows, _ = _fast(spark, [
+        [event("a", at=_at("12:00:10"))],
+        [event("tick", "tick", at=_at(clock))],
+        [event("b", at=_at("12:00:50"), amount=1), event("a", at=_at("12:00:10"))],
+        [event("tick2", "tick", at=_at("12:10:00"))],
+    ], "append")
+    assert rows == [("12:00", counted, 10_000 + counted - 1)]
+
+
 def test_dead_letters_of_a_stream(spark):
     path = work_dir(spark, "test-dlq")
     write_log(records(spark, demo_events()), f"{path}/in")
@@ -247,7 +260,7 @@ def test_table_from_a_stream_stops_at_a_bad_record_and_resumes(spark):
 
     def run():
         stream = read_log(spark, source, stream=True)
-        table_writer(stream, table, "t", checkpoint).trigger(
+        table_writer(stream, table, checkpoint).trigger(
             availableNow=True).start().awaitTermination()
 
     def rows():
@@ -275,7 +288,7 @@ def test_stream_and_batch_meet_in_the_table(spark):
             "amount AS total_amount_pyg"))
     write_log(stamped(serialize_aggregates(rows), "t"), f"{path}/log")
     create_table(spark, f"{path}/table")
-    table_writer(read_log(spark, f"{path}/log", stream=True), f"{path}/table", "t", f"{path}/cp"
+    table_writer(read_log(spark, f"{path}/log", stream=True), f"{path}/table", f"{path}/cp"
                  ).trigger(availableNow=True).start().awaitTermination()
     assert current_rows(spark, f"{path}/table").count() == 1
 
@@ -285,9 +298,3 @@ def test_far_future_events_can_be_kept_out(spark):
     logged = frame.withColumn("timestamp", F.lit("2026-01-01 12:00:00").cast("timestamp"))
     assert [r.event_id for r in only_plausible(logged, "timestamp", "1 hour").collect()] == ["a"]
 
-
-def test_only_small_inputs_are_spread(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() == cores
-    large = spark.range(0, 100, 1, cores + 3)
-    assert spread(large).rdd.getNumPartitions() == cores + 3
