@@ -24,6 +24,7 @@ CASES = {
     "compact": (json.dumps(BASE, separators=(",", ":")), []),
     "padded": ("\n  " + json.dumps(BASE, indent=2) + " \t", []),
     "extra fields": ({**BASE, "note": [1, {"a": "]"}], "more": None}, []),
+    "no number in an extra field": (json.dumps({**BASE, "note": float("nan"), "x": float("-inf")}), []),
     "numeric id text": (changed(BASE, "event_id", "123"), []),
     "literal id text": (changed(BASE, "event_id", "true"), []),
     "blank id": (changed(BASE, "event_id", " "), []),
