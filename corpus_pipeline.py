@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paystream.llm import decontaminate, minhash, packing, substring, toxicity
-from paystream.llm.common import held_out, keep_rows, table
+from paystream.llm.common import held_out, keep_rows, shipped, table
 from paystream.session import work_dir
 
 #: Scores from which a document is rejected.
@@ -31,6 +31,7 @@ def documents(frame: DataFrame) -> DataFrame:
     )
 
 
+@shipped
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity is below the limit; learned from the labels of the training rows."""
     labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id")))
@@ -43,6 +44,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_rows(documents(docs), clean)
 
 
+@shipped
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of near copies (five words, 0.8)."""
     groups = minhash.near_duplicates(docs)
@@ -50,6 +52,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return documents(docs).join(gone, "doc_id", "left_anti")
 
 
+@shipped
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that a document with a smaller id has."""
     rows = documents(docs)
@@ -57,11 +60,13 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return documents(left.withColumn("n_chars", F.length("text")))
 
 
+@shipped
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without copies of benchmark items."""
     return decontaminate.remove(documents(docs), table(spark, sf_dir, "benchmark"))
 
 
+@shipped
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that are left, in sequences of 4096 tokens."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import functools
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import paystream
+
 # The blanks between words: space, tab, line feed, vertical tab, form feed, carriage return.
 # They are also what ``bytes.split()`` splits at.
 BLANKS = " \t\n\x0b\f\r"
@@ -15,6 +21,37 @@ BLANK_RUN = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: The package as a file that executors may fetch for as long as the session lives.
+_PACKAGE: list[tempfile.TemporaryDirectory] = []
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, as ``spark-submit --py-files`` would; once per session."""
+    context = spark.sparkContext
+    if getattr(context, "_paystream_shipped", False):
+        return
+    if not _PACKAGE:
+        _PACKAGE.append(tempfile.TemporaryDirectory(prefix="paystream-"))
+    archive = Path(_PACKAGE[0].name) / f"paystream-{context.applicationId}.zip"
+    root = Path(paystream.__file__).parent
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    context._paystream_shipped = True
+
+
+def shipped(f: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``f(spark, ...)`` whose tasks can import this package."""
+
+    @functools.wraps(f)
+    def run(spark: SparkSession, *args) -> DataFrame:
+        ship(spark)
+        return f(spark, *args)
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paystream.llm import decontaminate, langid, license, minhash, packing, quality, substring, toxicity, urlfilter, warc
-from paystream.llm.common import held_out, table
+from paystream.llm.common import held_out, shipped, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -23,7 +23,7 @@ BLOCKED_DOMAINS = ("cheap-pills.example.org", "cheap-pills.example.net", "spam-f
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[f.__name__] = f
+    QUERIES[f.__name__] = shipped(f)
     return f
 
 
