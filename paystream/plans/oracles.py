@@ -5,7 +5,7 @@ Only lengths of dead letters and the event times need the written text.
 
 from __future__ import annotations
 
-from paystream.plans.payments import COPY_DELAY, COPY_EVERY, FAULTS, ORIGIN, ZONES
+from paystream.plans.payments import COPY_DELAY, COPY_EVERY, FAULTS, ORIGIN, TAMPER_EVERY, TAMPERED, ZONES
 
 _FAULT = "CASE " + " ".join(
     f"WHEN event_id % {divisor} = 0 THEN '{name}'" for divisor, name in FAULTS.items()
@@ -156,6 +156,16 @@ def _with(*parts: str) -> str:
     return "WITH " + ",".join(parts)
 
 
+def _tampered(part: int) -> str:
+    """The errors before (1) or after (2) those of the amount, by case."""
+    cases = " ".join(
+        f"WHEN {rest} THEN {list(case[part])}" for rest, case in TAMPERED.items() if case[part]
+    )
+    return f"CASE i % {TAMPER_EVERY} {cases} ELSE []::VARCHAR[] END"
+
+
+_NO_AMOUNT = ", ".join(str(rest) for rest, case in TAMPERED.items() if case[2] is None)
+
 ORACLES: dict[str, str] = {
     "window_agg_60s": _with(_LOG, _windows()) + f" SELECT {_COLUMNS} FROM windows",
     "parse_outcome_counts": _with(_LOG) + """
@@ -164,6 +174,11 @@ ORACLES: dict[str, str] = {
     "validation_errors": _with(_LOG) + """
         SELECT "offset", (p - 1)::INTEGER AS position, errors[p] AS error
         FROM (SELECT "offset", errors, unnest(range(1, len(errors) + 1)) AS p FROM checked)""",
+    "validation_rules": _with(_BASE) + f"""
+        SELECT i AS "offset", (p - 1)::INTEGER AS position, errors[p] AS error
+        FROM (SELECT i, errors, unnest(range(1, len(errors) + 1)) AS p FROM (
+          SELECT i, {_tampered(1)} || CASE WHEN amount <= 0 AND i % {TAMPER_EVERY} NOT IN ({_NO_AMOUNT})
+            THEN ['range:payload.amount'] ELSE []::VARCHAR[] END || {_tampered(2)} AS errors FROM base))""",
     "dlq_records": _with(_LOG) + _LETTERS,
     "confirmed_events": _with(_LOG) + f"""
         SELECT event_id, 'txn-' || i AS transaction_id, merchant_id, account_id, amount,

@@ -105,6 +105,64 @@ def _json_text() -> Column:
     )
 
 
+#: What is done to the text of an event, by its number modulo ``TAMPER_EVERY``: pattern and
+#: replacement pairs, and the errors that must follow, before and after those of the amount.
+TAMPER_EVERY = 24
+TAMPERED = {
+    1: ([('"schema_version":1,', "")], ["missing:schema_version"], []),
+    2: ([('"schema_version":1', '"schema_version":true')], ["type:schema_version"], []),
+    3: ([('"schema_version":1', '"schema_version":1.0')], ["type:schema_version"], []),
+    4: ([('"schema_version":1', '"schema_version":2')], ["unsupported:schema_version"], []),
+    5: ([('"key":"[^"]*",', "")], ["missing:key"], []),
+    6: ([('"key":"[^"]*"', '"key":""')], ["invalid:key"], []),
+    7: ([('"key":"[^"]*"', '"key":5')], ["invalid:key"], []),
+    8: ([('"event_time":"[^"]*",', "")], ["missing:event_time"], []),
+    9: ([('"event_time":"[^"]*"', '"event_time":5')], ["type:event_time"], []),
+    10: ([('"event_time":"[^"]*"', '"event_time":"yesterday"')], ["unparseable:event_time"], []),
+    11: ([(',"payload":.*$', "}")], ["missing:payload"], None),
+    12: ([('"payload":.*$', '"payload":["]"]}')], ["type:payload"], None),
+    13: ([('"transaction_id":"[^"]*",', "")], ["missing:payload.transaction_id"], []),
+    14: ([('"transaction_id":"[^"]*"', '"transaction_id":""')], ["invalid:payload.transaction_id"], []),
+    15: ([('"merchant_id":"[^"]*"', '"merchant_id":""')], ["invalid:payload.merchant_id"], []),
+    16: ([('"merchant_id":"[^"]*",', "")], ["missing:payload.merchant_id"], []),
+    17: ([('"account_id":"[^"]*"', '"account_id":null')], ["invalid:payload.account_id"], []),
+    18: ([('"account_id":"[^"]*",', "")], ["missing:payload.account_id"], []),
+    19: ([('"event_id":"[^"]*"', '"event_id":""'), (',"status":"[^"]*"', "")], ["invalid:event_id"],
+         ["missing:payload.status"]),
+    20: ([('"schema_version":1', '"schema_version":"1"'), ('"key":"[^"]*"', '"key":[]'),
+          ('"account_id":"[^"]*"', '"account_id":{}'), ('"currency":"PYG"', '"currency":"pyg"')],
+         ["type:schema_version", "invalid:key", "invalid:payload.account_id"], ["invalid:payload.currency"]),
+    21: ([("^[{]", '{"tags":["]",[{}]],')], [], []),
+    22: ([("^[{]", '{"ratio":NaN,"limit":-Infinity,')], [], []),
+    23: ([('"amount":-?[0-9]+,', "")], ["missing:payload.amount"], None),
+}
+
+
+def tampered_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every payment as a record that is sound but for one kind of tampering; none for a rest of 0."""
+    clock = F.concat(F.date_format("event_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
+    payload = F.struct(
+        F.concat(F.lit("txn-"), F.col("i")).alias("transaction_id"), "merchant_id", "account_id", "amount",
+        F.lit("PYG").alias("currency"), "status",
+    )
+    event = F.struct(
+        F.lit(1).alias("schema_version"), "event_id", F.col("merchant_id").alias("key"),
+        clock.alias("event_time"), payload.alias("payload"),
+    )
+    plain = F.to_json(event)
+    text = plain
+    for rest, (changes, _, _) in TAMPERED.items():
+        other = plain
+        for pattern, new in changes:
+            other = F.regexp_replace(other, pattern, new)
+        text = F.when(F.col("i") % TAMPER_EVERY == rest, other).otherwise(text)
+    return raw_payments(spark, sf_dir).select(
+        F.col("merchant_id").cast("binary").alias("key"), text.cast("binary").alias("value"),
+        F.lit(EVENTS_TOPIC).alias("topic"), "partition", F.col("i").cast("long").alias("offset"),
+        F.col("event_ts").alias("timestamp"),
+    )
+
+
 def payment_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw log: records as a topic holds them."""
     text = F.col("text")

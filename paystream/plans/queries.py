@@ -29,7 +29,7 @@ from paystream.operators.windows import (
     serialize_aggregates,
     to_table_types,
 )
-from paystream.plans.payments import COPY_DELAY, load, payment_log, raw_payments
+from paystream.plans.payments import COPY_DELAY, load, payment_log, raw_payments, tampered_log
 from paystream.schemas import AGGREGATE_COLUMNS
 from paystream.session import work_dir
 from paystream.sources.records import bounded, keyed_records, log_writer, read_log, write_log
@@ -91,6 +91,13 @@ def validation_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def validation_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rule of the contract broken in some records, several at once in others."""
+    return check_events(tampered_log(spark, sf_dir)).select(
+        "offset", F.posexplode("errors").alias("position", "error")
+    )
+
+
 def dlq_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _letters(dead_letters(invalid_events(_checked(spark, sf_dir))))
 
@@ -548,6 +555,7 @@ QUERIES: dict[str, Query] = {
     "window_agg_60s": window_agg_60s,
     "parse_outcome_counts": parse_outcome_counts,
     "validation_errors": validation_errors,
+    "validation_rules": validation_rules,
     "dlq_records": dlq_records,
     "confirmed_events": confirmed_events,
     "event_time_offsets": event_time_offsets,
