@@ -8,7 +8,9 @@ import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,6 +93,20 @@ def texts_of(batch, name: str = "text") -> list[str]:
     return [x or "" for x in batch.column(name).to_pylist()]
 
 
+def parts(batches: Iterator[pa.RecordBatch], name: str = "text", most_bytes: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+    """The batches cut into slices of at most about ``most_bytes`` of text, or one long text.
+
+    Spark's batches have thousands of rows; taken as a whole, their texts and what is made of
+    them would fill a worker's memory.
+    """
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes, dtype="i8") // most_bytes
+        edges = np.flatnonzero(np.diff(ends, prepend=-1, append=-1) != 0) if len(ends) else [0]
+        for a, b in zip(edges, edges[1:]):
+            yield batch.slice(a, b - a)
+
+
 def text_groups(
     batches: Iterator[pa.RecordBatch], most_bytes: int, encode: Callable[[str], bytes] = str.encode
 ) -> Iterator[tuple[list[int | None], list[bytes]]]:
@@ -98,7 +114,7 @@ def text_groups(
     ids: list[int | None] = []
     texts: list[bytes] = []
     size = 0
-    for batch in batches:
+    for batch in parts(batches):
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch)):
             ids.append(doc_id)
             texts.append(encode(text))
@@ -122,7 +138,7 @@ def keep_rows(docs: DataFrame, judge: Callable[[list[str]], list[bool]]) -> Data
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             yield batch.filter(pa.array(judge(texts_of(batch)), pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paystream.llm.common import texts_of
+from paystream.llm.common import parts, texts_of
 
 #: Odd factors of the hash, one for each character of an n-gram and one for its length.
 _FACTORS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], "u4")
@@ -79,7 +79,7 @@ def train(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in parts(batches):
             for text, lang in zip(texts_of(batch), batch.column("lang").to_pylist()):
                 if lang not in seen:
                     seen[lang] = np.zeros(1 << bits, "i8")
@@ -113,7 +113,7 @@ def identify(docs: DataFrame, model: Model, unknown: str = "und") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        for batch in batches:
+        for batch in parts(batches):
             out: list[tuple] = []
             for text, letters in zip(texts_of(batch), batch.column("n_letters").to_pylist()):
                 if not letters or not known.langs:

@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paystream.llm.common import texts_of
+from paystream.llm.common import parts, texts_of
 from paystream.llm.hashing import _ODD, mix, run_hashes, word_hashes
 from paystream.session import work_dir
 
@@ -28,7 +28,7 @@ _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuv
 _SKETCH = "doc_id long, n_shingles long, print_a long, print_b long, bands array<long>"
 
 #: Shingles a task holds while it confirms.
-_HELD = 1_000_000
+_HELD = 400_000
 
 
 def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
@@ -78,7 +78,7 @@ def sketches(docs: DataFrame, width: int, bins: int, rows: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer = Signer(bins, rows)
-        for batch in batches:
+        for batch in parts(batches):
             texts = [x.encode().translate(_LOWER) for x in texts_of(batch)]
             words, starts = word_hashes(texts)
             sizes, prints, bands = [], [[], []], []
@@ -108,7 +108,7 @@ def bodies(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(3)
-        for batch in batches:
+        for batch in parts(batches):
             packed = [press.compress(x.encode()) for x in texts_of(batch)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(packed, pa.binary())], ["doc_id", "body"])
 
@@ -133,7 +133,7 @@ def confirm(edges: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, frozenset] = {}
         held = 0
-        for batch in batches:
+        for batch in parts(batches, "body_b", 500_000):
             keep = []
             pairs = zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), batch.column("body_a"), batch.column("body_b"))
             for k, (a, b, body_a, body_b) in enumerate(pairs):
@@ -194,7 +194,7 @@ def _prefixes(texts: DataFrame, reps: DataFrame, width: int, percent: int) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpress = zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in parts(batches, "body", 500_000):
             plain = [unpress.decompress(x.as_py()).translate(_LOWER) for x in batch.column("body")]
             words, starts = word_hashes(plain)
             found = [shingle_hashes(words[starts[k]:starts[k + 1]], width).view("i8") for k in range(len(plain))]

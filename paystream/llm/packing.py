@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paystream.llm.common import texts_of
+from paystream.llm.common import parts, texts_of
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
@@ -184,7 +184,7 @@ def pack(
         sequence = TaskContext.get().partitionId() << 40
         held: list[tuple] = []
         tokens = 0
-        for batch in batches:
+        for batch in parts(batches):
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts_of(batch))):
                 held.append((doc_id, ids + end))
                 tokens += len(ids) // 4 + 1

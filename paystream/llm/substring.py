@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paystream.llm.common import text_groups
+from paystream.llm.common import parts, text_groups
 from paystream.llm.hashing import mix, run_hashes, word_hashes
 
 #: Prefix lengths that are counted; past them the whole window is the prefix.
@@ -37,7 +37,7 @@ _BINS = 4096
 #: An id above all others, for documents without one: their windows count as repeats of any other.
 _NO_ID = (1 << 63) - 1
 #: Bytes of text a task works on at once.
-_TASK_BYTES = 15_000_000
+_TASK_BYTES = 12_000_000
 
 
 def _bin(prefix: np.ndarray, depth: int) -> np.ndarray:
@@ -222,7 +222,7 @@ def _blocks_of(docs: DataFrame, blocks: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(3)
-        for batch in batches:
+        for batch in parts(batches):
             ids = np.array([_NO_ID if x is None else x for x in batch.column("doc_id").to_pylist()], "i8")
             packed = [None if x is None else press.compress(x.encode()) for x in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paystream.llm.common import texts_of
+from paystream.llm.common import parts, texts_of
 
 _WORD = re.compile(r"\w+")
 PASSAGES = "doc_id long, score double, n_words long, evidence double, passages array<struct<start:long,end:long,score:double,expected:double>>"
@@ -32,7 +32,7 @@ _MOST = 40.0
 
 #: Lengths of the starts of words that count as stems; the sign after a stem is in no word.
 _STEMS = (4, 5, 6)
-_MEMO = 200_000
+_MEMO = 60_000
 
 
 def words_of(text: str) -> list[str]:
@@ -131,7 +131,7 @@ def _sketch(words: list[str]) -> int:
 def _count_terms(batches: Iterator[pa.RecordBatch], terms: frozenset[str] | None) -> Iterator[pa.RecordBatch]:
     """With ``terms``: documents that have each of them, and all terms. Else each term with the sketch of its document."""
     seen: Counter[str] = Counter()
-    for batch in batches:
+    for batch in parts(batches):
         for text in texts_of(batch):
             words = words_of(text)
             own = all_terms(set(words))
@@ -216,7 +216,7 @@ def _calibrate(rows: DataFrame, raw: Model, bins: int = 400) -> Model:
 
     def chance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, found, n = shared.value, 0, 0
-        for batch in batches:
+        for batch in parts(batches):
             for text in texts_of(batch):
                 words = words_of(text)
                 n += len(words)
@@ -232,7 +232,7 @@ def _calibrate(rows: DataFrame, raw: Model, bins: int = 400) -> Model:
 
     def histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, seen = shared_fit.value, Counter()
-        for batch in batches:
+        for batch in parts(batches):
             for text, toxic in zip(texts_of(batch), batch.column("toxic").to_pylist()):
                 x = model.evidence(model.passages(words_of(text)))
                 seen[(0 if x <= 0 else 1 + int(x / _MOST * (bins - 1)), int(toxic == 1))] += 1
@@ -280,7 +280,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        for batch in batches:
+        for batch in parts(batches):
             sizes, evidence, found = [], [], []
             for text in texts_of(batch):
                 words = words_of(text)
