@@ -21,6 +21,8 @@ PIECES = (
     "offset long, sequence_length long, sequence_cost double"
 )
 _CACHED_WORDS = 600_000
+#: More than these aren't kept after a task: other work of the same worker needs the memory.
+_KEPT_WORDS = 250_000
 _GROUP_WORDS = 200_000
 _ENDS = b".,!?;:%&$*#"
 _ENDED = re.compile(rb"[a-z][.,!?;:%&$*#]+$")
@@ -80,6 +82,12 @@ class _Encoder:
         for word, (core, ends) in split.items():
             self.words[word] = self.cores[core] + self.cores[ends] if ends else self.cores[core]
 
+    def rest(self) -> None:
+        """Let go of a large cache."""
+        if len(self.words) > _KEPT_WORDS:
+            self.words.clear()
+            self.cores.clear()
+
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         held: list[list[bytes]] = []
         size = 0
@@ -192,6 +200,7 @@ def pack(
                     yield _pack(held, sequence, capacity, linear, quadratic)
                     sequence += len(sequence_lengths(tokens, capacity))
                     held, tokens = [], 0
+        encoder.rest()
         if held:
             yield _pack(held, sequence, capacity, linear, quadratic)
 
