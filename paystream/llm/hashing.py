@@ -13,7 +13,7 @@ _TABLE = np.random.default_rng(20240229).integers(0, 1 << 64, 256, "u8")
 _ODD = np.random.default_rng(20240301).integers(0, 1 << 63, 64, "u8") * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15 | 3
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 _POWERS: dict[int, np.ndarray] = {}
 
 

@@ -37,7 +37,7 @@ _BINS = 4096
 #: An id above all others, for documents without one: their windows count as repeats of any other.
 _NO_ID = (1 << 63) - 1
 #: Bytes of text a task works on at once.
-_TASK_BYTES = 8_000_000
+_TASK_BYTES = 4_000_000
 
 
 def _bin(prefix: np.ndarray, depth: int) -> np.ndarray:
