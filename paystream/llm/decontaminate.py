@@ -1,16 +1,17 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 The n-grams of the test items are counted in all training texts. The rare ones of each item are
-its seeds; texts in which two of them stand about as far apart as in the item are aligned with
-it word by word. An item that was copied often has no rarer n-grams than its copies have, so
-rare is meant relative to the item. The benchmark is the query set: it is taken in blocks of a
-bounded number of n-grams, and each block meets every text where it lies, without a shuffle.
+its first seeds; texts in which two of them stand about as far apart as in the item are aligned
+with it word by word. The others are second seeds, as the n-grams of an edited copy that itself
+was copied often are not rare: where a text hits only those, it is aligned if it has as many
+words of the item there as a copy must have. The benchmark is the query set: it is taken in blocks
+of a bounded number of n-grams, and each block meets every text where it lies, without a shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,8 @@ from paystream.llm.hashing import run_hashes, word_hashes
 _SIGNS = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
 _TASK_BYTES = 8_000_000
 _BITS = 22
+#: Pairs of a place in a text and one in an item that are held at once.
+_PAIRS = 2_000_000
 FOUND = "doc_id long, item_id long, similarity double, start long, end long, item_words long"
 
 
@@ -54,7 +57,7 @@ def align(item: np.ndarray, passage: np.ndarray, match: int = 2, mismatch: int =
 
 @dataclass(frozen=True)
 class Block:
-    """Some items: their words, their n-grams in order, and the (item, place) of each."""
+    """Some items: their words, their n-grams in order, and the (item, place) of each; whether it is rare."""
 
     ids: list[int | None]
     words: list[np.ndarray]
@@ -62,6 +65,7 @@ class Block:
     item: np.ndarray
     place: np.ndarray
     width: int
+    first: np.ndarray
 
     @classmethod
     def of(cls, rows: list[tuple[int | None, str]], width: int) -> "Block":
@@ -72,7 +76,7 @@ class Block:
         place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, "i8")
         flat = np.concatenate(grams) if grams else np.zeros(0, "u8")
         order = np.argsort(flat, kind="stable")
-        return cls([r[0] for r in rows], parts, flat[order], item[order], place[order], width)
+        return cls([r[0] for r in rows], parts, flat[order], item[order], place[order], width, np.ones(len(flat), bool))
 
     def sieve(self) -> np.ndarray:
         """A bit for the first bits of each n-gram, which most n-grams of a text don't have."""
@@ -89,15 +93,14 @@ class Block:
         return maybe[real], low[real], high[real]
 
     def rare(self, frequency: np.ndarray, times: float, least: int) -> "Block":
-        """Only the seeds: n-grams in at most ``times`` as many texts as the item's median one."""
+        """With those n-grams as first seeds that are in at most ``times`` as many texts as the item's median one."""
         order = np.lexsort((frequency, self.item))
         sizes = np.bincount(self.item, minlength=len(self.ids))
         first = np.cumsum(sizes) - sizes
         middle = np.zeros(len(self.ids))
         some = sizes > 0
         middle[some] = frequency[order][(first + sizes // 2)[some]]
-        keep = frequency <= times * middle[self.item] + least
-        return Block(self.ids, self.words, self.grams[keep], self.item[keep], self.place[keep], self.width)
+        return replace(self, first=frequency <= times * middle[self.item] + least)
 
 
 def _whole_grams(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -149,12 +152,23 @@ def matches(texts: list[bytes], block: Block, sieve: np.ndarray, least: float) -
     """(text, item, similarity, start, end) of the best copy of each item in each text."""
     words, starts, grams, first = _whole_grams(texts, block.width)
     at, low, high = block.hits(grams, sieve)
-    if not len(at):
-        return
+    # A text's hits stay together; texts with many are taken in turn.
+    text = np.searchsorted(starts, first[at], "right")
+    edges = np.flatnonzero(np.diff(text, prepend=-1, append=-1)) if len(at) else np.zeros(1, "i8")
+    pairs = np.cumsum(high - low)
+    turn = np.flatnonzero(np.diff(pairs[edges[1:] - 1] // _PAIRS, prepend=-1, append=-1)) if len(at) else edges
+    for a, b in zip(edges[turn], edges[turn[1:]]):
+        yield from _copies(words, starts, first[at[a:b]], low[a:b], high[a:b], block, least)
+
+
+def _copies(
+    words: np.ndarray, starts: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray, block: Block, least: float
+) -> Iterator[tuple[int, int, float, int, int]]:
+    """The same of the texts that have hits at the words ``at``, each of the block's n-grams from ``low`` to ``high``."""
     times = high - low
     hit = np.repeat(np.arange(len(at)), times)
     entry = np.arange(len(hit)) - np.repeat(np.cumsum(times) - times, times) + low[hit]
-    place = first[at[hit]]
+    place = at[hit]
     text = np.searchsorted(starts, place, "right") - 1
     item = block.item[entry]
     shift = place - block.place[entry]
@@ -168,10 +182,15 @@ def matches(texts: list[bytes], block: Block, sieve: np.ndarray, least: float) -
     for a, b in zip(edges, [*edges[1:], len(text)]):
         t, i = int(text[a]), int(item[a])
         known = block.words[i]
-        if len(np.unique(block.place[entry[a:b]])) < min(2, len(known) - block.width + 1):
+        own, rare = block.place[entry[a:b]], block.first[entry[a:b]]
+        enough = min(2, len(known) - block.width + 1)
+        if len(np.unique(own)) < enough:
             continue
         begin = max(int(starts[t]), int(shift[a]) - int(slack[i]))
         stop = min(int(starts[t + 1]), int(shift[b - 1]) + len(known) + int(slack[i]))
+        # A word in common is worth 2 of the score at most.
+        if len(np.unique(own[rare])) < enough and np.isin(known, words[begin:stop]).sum() < least * len(known):
+            continue
         score, end = align(known, words[begin:stop])
         similarity = score / (2 * len(known))
         if similarity >= least and similarity > best.get((t, i), (0.0,))[0]:

@@ -205,6 +205,36 @@ def test_benchmark_copies(docs, spark):
     assert decontaminate.find(docs(rows), benchmark.where("false")).count() == 0
 
 
+def test_copies_that_were_copied_often(docs, spark):
+    """Edited and partial copies are found in however many texts the same one stands."""
+    random.seed(14)
+    item = [f"q{k}" for k in range(40)]
+    benchmark = spark.createDataFrame([(7, " ".join(item)), (8, " ".join(f"z{k}" for k in range(30)))], "item_id long, text string")
+    kinds = {
+        "fifth": ["x" if k % 5 == 4 else w for k, w in enumerate(item)],
+        "fourth": ["x" if k % 4 == 3 else w for k, w in enumerate(item)],
+        "half": item[:20],
+    }
+    for copy in kinds.values():
+        for times in (5, 9, 50):
+            rows = [(k, " ".join([f"a{random.randrange(900)}" for _ in range(60)] + copy * (k < times))) for k in range(times + 20)]
+            found = decontaminate.find(docs(rows), benchmark).collect()
+            assert {(r.doc_id, r.item_id) for r in found} == {(k, 7) for k in range(times)}
+            assert {r.doc_id for r in decontaminate.remove(docs(rows), benchmark).collect()} == set(range(times, times + 20))
+
+
+def test_matches_in_turns(monkeypatch):
+    """Texts with more hits than are held at once give the same."""
+    random.seed(15)
+    items = [(k, " ".join(random.choices("abcde", k=20))) for k in range(5)]
+    texts = [" ".join(random.choices("abcde", k=random.choice([0, 2, 90]))).encode() for _ in range(12)]
+    block = decontaminate.Block.of(items, 3)
+    whole = list(decontaminate.matches(texts, block, block.sieve(), 0.5))
+    for pairs in (1, 300):
+        monkeypatch.setattr(decontaminate, "_PAIRS", pairs)
+        assert whole and list(decontaminate.matches(texts, block, block.sieve(), 0.5)) == whole
+
+
 def maximal(scores):
     """Maximal segments by their definition: the best one, then those to its left and right."""
     best = None
