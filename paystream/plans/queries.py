@@ -29,7 +29,14 @@ from paystream.operators.windows import (
     serialize_aggregates,
     to_table_types,
 )
-from paystream.plans.payments import COPY_DELAY, load, payment_log, raw_payments, tampered_log
+from paystream.plans.payments import (
+    COPY_DELAY,
+    COPY_EVERY,
+    load,
+    payment_log,
+    raw_payments,
+    tampered_log,
+)
 from paystream.schemas import AGGREGATE_COLUMNS
 from paystream.session import work_dir
 from paystream.sources.records import bounded, keyed_records, log_writer, read_log, write_log
@@ -41,7 +48,7 @@ from paystream.sources.table import (
     store_versions,
     stored_versions,
 )
-from paystream.streaming.exact import deduplicate_exactly, panes, with_event_clock
+from paystream.streaming.exact import deduplicate_exactly, pane_stream, with_event_clock
 from paystream.streaming.fast import (
     PAYMENT_COLUMNS,
     aggregate_stream,
@@ -488,33 +495,35 @@ def _tick(spark: SparkSession, sf_dir: str, seconds: int) -> DataFrame:
 
 
 def panes_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """On-time and late panes of every window, with a lateness as long as the table.
+    """On-time and late panes of every window from the raw log; a lateness as long as the table.
 
-    Steps: most payments; a tick that closes all windows; payments that are late but accepted;
-    a tick that ends the lateness; payments that are too late.
+    Steps: most payments; a tick that closes all windows; payments that are late but accepted,
+    with their copies; those copies and a tenth of the first payments once more, which must not
+    give panes; a tick that ends the lateness; payments that are too late, and all copies.
     """
     config = replace(DEFAULT, lateness_seconds=LONG_SECONDS)
-    rows = _payments(spark, sf_dir).filter(F.col("offset") % 2 == 0)
-    late = F.col("offset") / 2 % 5 == 0
-    too_late = F.col("offset") / 2 % 7 == 0
+    log = payment_log(spark, sf_dir)
+    copy = F.col("offset") % 2 == 1
+    source = F.floor(F.col("offset") / 2) - F.col("offset") % 2 * COPY_DELAY
+    late = source % 5 == 0
+    too_late = source % 7 == 0
     replay = Replay(spark, "panes")
     replay.run(
         [
-            rows.filter(~late & ~too_late),
-            _tick(spark, sf_dir, 86_400),
-            rows.filter(late & ~too_late),
-            _tick(spark, sf_dir, 86_400 + 2 * LONG_SECONDS),
-            rows.filter(too_late),
+            log.filter(~late & ~too_late),
+            _tick_record(spark, sf_dir, 86_400),
+            log.filter(late & ~too_late),
+            log.filter((copy | (source % COPY_EVERY == 1)) & ~too_late),
+            _tick_record(spark, sf_dir, 86_400 + 2 * LONG_SECONDS),
+            log.filter(too_late | copy),
         ],
-        lambda stream, out, checkpoint: log_writer(
-            panes(with_event_clock(stream), config), out, checkpoint
-        ),
+        lambda stream, out, checkpoint: log_writer(pane_stream(stream, config), out, checkpoint),
     )
     on_time = F.col("timing") == "ON_TIME"
     count, total = F.col("transaction_count"), F.col("total_amount_pyg").cast("bigint")
     return (
         spark.read.parquet(replay.output).filter(F.col("merchant_id") != TICK)
-        .groupBy("merchant_id", F.expr(format_boundary("window_start")).alias("window_start"))
+        .groupBy("merchant_id", "window_start")
         .agg(
             F.count_if(on_time).alias("on_time_panes"),
             F.max(F.when(on_time, count)).alias("on_time_count"),

@@ -201,6 +201,6 @@ def panes(clocked: DataFrame, config: StreamConfig = DEFAULT) -> DataFrame:
 
 
 def pane_stream(records: DataFrame, config: StreamConfig = DEFAULT) -> DataFrame:
-    """Raw log to the labelled rows of all panes, with ``pane_index``: every version of a window."""
+    """Raw log to the labelled rows of all panes, with ``timing, pane_index``: every version of a window."""
     clocked = with_event_clock(confirmed_payments(records))
-    return label_windows(panes(deduplicate_exactly(clocked, config), config), "pane_index")
+    return label_windows(panes(deduplicate_exactly(clocked, config), config), "timing", "pane_index")
