@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -89,6 +88,11 @@ def _group_of(words: np.ndarray, first: np.ndarray, paths: np.ndarray, counts: n
     return group
 
 
+def _tags(texts: list[bytes]) -> np.ndarray:
+    """64-bit hashes of texts; with the id, they name a row."""
+    return np.array([int.from_bytes(hashlib.blake2b(x, digest_size=8).digest(), "little") for x in texts], "u8")
+
+
 def _pack(ids: np.ndarray, tags: np.ndarray, doc: np.ndarray, place: np.ndarray, press) -> bytes:
     """Places by document, as compressed counts, differences of ids, tags and places."""
     edge = np.flatnonzero(np.diff(doc, prepend=-1))
@@ -97,10 +101,10 @@ def _pack(ids: np.ndarray, tags: np.ndarray, doc: np.ndarray, place: np.ndarray,
     gaps = np.diff(place, prepend=0)
     gaps[edge] = place[edge]
     parts = [
-        np.diff(ids[rows], prepend=0).astype("<i8").tobytes(), tags[rows].astype("<u2").tobytes(),
+        np.diff(ids[rows], prepend=0).astype("<i8").tobytes(), tags[rows].astype("<u8").tobytes(),
         counts.tobytes(), gaps.astype("<i4").tobytes(),
     ]
-    planes = [np.frombuffer(x, "u1").reshape(-1, w).T.tobytes() for x, w in zip(parts, (8, 2, 4, 4))]
+    planes = [np.frombuffer(x, "u1").reshape(-1, w).T.tobytes() for x, w in zip(parts, (8, 8, 4, 4))]
     return len(rows).to_bytes(4, "little") + press.compress(b"".join(planes))
 
 
@@ -108,16 +112,16 @@ def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     """Ids and tags of documents, then document and place of each entry."""
     n = int.from_bytes(data[:4], "little")
     plain = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[4:]), "u1")
-    ends = np.cumsum([8 * n, 2 * n, 4 * n])
+    ends = np.cumsum([8 * n, 8 * n, 4 * n])
     ids, tags, counts, gaps = (
         np.ascontiguousarray(x.reshape(w, -1).T).view(kind).ravel()
-        for x, w, kind in zip(np.split(plain, ends), (8, 2, 4, 4), ("<i8", "<u2", "<i4", "<i4"))
+        for x, w, kind in zip(np.split(plain, ends), (8, 8, 4, 4), ("<i8", "<u8", "<i4", "<i4"))
     )
     doc = np.repeat(np.arange(n), counts)
     total = np.cumsum(gaps, dtype="i8")
     first = np.cumsum(counts) - counts
     before = np.where(first > 0, total[first - 1], 0) if n else total
-    return np.cumsum(ids), tags.astype("i8"), doc, total - before[doc]
+    return np.cumsum(ids), tags, doc, total - before[doc]
 
 
 def _later(paths: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -131,13 +135,13 @@ def _later(paths: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return later
 
 
-def _block_of(ids: np.ndarray, blocks: int) -> np.ndarray:
-    return (mix(ids.view("u8") + np.uint64(1)) % np.uint64(blocks)).astype("i8")
+def _block_of(ids: np.ndarray, tags: np.ndarray, blocks: int) -> np.ndarray:
+    return (mix(mix(ids.view("u8") + np.uint64(1)) ^ tags) % np.uint64(blocks)).astype("i8")
 
 
 def _by_block(ids, tags, doc, place, blocks: int, press) -> Iterator[tuple[int, bytes]]:
     """Places packed apart for each block of documents."""
-    block = _block_of(ids, blocks)[doc]
+    block = _block_of(ids, tags, blocks)[doc]
     order = np.argsort(block, kind="stable")
     edges = np.flatnonzero(np.diff(block[order], prepend=-1))
     for a, b in zip(edges, [*edges[1:], len(order)]):
@@ -156,7 +160,7 @@ def suffixes(docs: DataFrame, window: int, counts: np.ndarray, quota: int, group
         press = zstandard.ZstdCompressor(1)
         for ids, texts in text_groups(batches, _TASK_BYTES):
             names = np.array([_NO_ID if x is None else x for x in ids], "i8")
-            tags = np.array([zlib.crc32(x) & 0xFFFF for x in texts], "u2")
+            tags = _tags(texts)
             words, doc, place, first, paths = _paths(texts, window)
             if not len(first):
                 continue
@@ -217,20 +221,29 @@ _RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, spans
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def _blocks_of(docs: DataFrame, blocks: int) -> DataFrame:
-    """Compressed texts by block, with the columns to carry; null text is null."""
+def _blocks_of(docs: DataFrame, window: int, blocks: int) -> DataFrame:
+    """Compressed texts by block, with their hash and the columns to carry; null text is null.
+
+    Texts without a window have no repeats and go to any block.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(3)
+        press, turn = zstandard.ZstdCompressor(3), 0
         for batch in parts(batches):
             ids = np.array([_NO_ID if x is None else x for x in batch.column("doc_id").to_pylist()], "i8")
-            packed = [None if x is None else press.compress(x.encode()) for x in batch.column("text").to_pylist()]
+            texts = [None if x is None else x.encode() for x in batch.column("text").to_pylist()]
+            packed = [None if x is None else press.compress(x) for x in texts]
+            tags = _tags([x or b"" for x in texts])
+            # A window has a byte for each word and a blank between them at least.
+            short = np.array([len(x or b"") < 2 * window - 1 for x in texts], bool)
+            block = np.where(short, (turn + np.arange(len(texts))) % blocks, _block_of(ids, tags, blocks))
+            turn += len(texts)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(_block_of(ids, blocks)), batch.column("doc_id"), pa.array(packed, pa.binary()), *batch.columns[2:]],
-                ["block", "doc_id", "body", *batch.schema.names[2:]],
+                [pa.array(block), batch.column("doc_id"), pa.array(packed, pa.binary()), pa.array(tags.view("i8")), *batch.columns[2:]],
+                ["block", "doc_id", "body", "tag", *batch.schema.names[2:]],
             )
 
-    schema = T.StructType().add("block", "long").add("doc_id", "long").add("body", "binary")
+    schema = T.StructType().add("block", "long").add("doc_id", "long").add("body", "binary").add("tag", "long")
     return docs.mapInArrow(run, T.StructType([*schema.fields, *docs.schema.fields[2:]]))
 
 
@@ -247,8 +260,8 @@ def deduplicate(
 
     Null text has no words and stays null, empty text stays empty. A null id is above all
     others and takes nothing from other null ids. Rows that repeat an id are documents of their
-    own that take nothing from each other (they are told apart by 16 bits of a checksum of the
-    text). An empty table gives no rows. The columns to ``carry`` come along unchanged, other
+    own that take nothing from each other (they are told apart by a 64-bit hash of the text, and
+    rows of equal id and text have equal results). An empty table gives no rows. The columns to ``carry`` come along unchanged, other
     ones are ignored.
     """
     bare = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carry)
@@ -270,10 +283,10 @@ def deduplicate(
                 places.setdefault((int(ids[k]), int(tags[k])), []).append(place[a:b])
         out: list[tuple] = []
         unpress = zstandard.ZstdDecompressor()
-        for doc_id, body in zip(left.column("doc_id").to_pylist(), left.column("body")):
+        for doc_id, body, tag in zip(left.column("doc_id").to_pylist(), left.column("body"), left.column("tag").to_numpy().view("u8")):
             text = unpress.decompress(body.as_py()) if body.is_valid else b""
             words = text.split()
-            own = places.get((_NO_ID if doc_id is None else doc_id, zlib.crc32(text) & 0xFFFF))
+            own = places.get((_NO_ID if doc_id is None else doc_id, int(tag)))
             spans, removed = [], None
             if own:
                 at = np.concatenate(own)
@@ -290,8 +303,8 @@ def deduplicate(
             out.append((doc_id, len(words) + n_removed, n_removed, digest, spans, kept))
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), _SPANS, pa.string())
         columns = [pa.array([x[k] for x in out], t) for k, t in enumerate(kinds)]
-        return pa.table([*columns, *left.columns[3:]], [*names, *left.column_names[3:]])
+        return pa.table([*columns, *left.columns[4:]], [*names, *left.column_names[4:]])
 
     schema = T.StructType([*spark.createDataFrame([], _RESULT).schema.fields, *bare.schema.fields[2:]])
     names = schema.names[:6]
-    return _blocks_of(bare, blocks).groupBy("block").cogroup(found.groupBy("block")).applyInArrow(run, schema)
+    return _blocks_of(bare, window, blocks).groupBy("block").cogroup(found.groupBy("block")).applyInArrow(run, schema)

@@ -155,6 +155,28 @@ def test_repeats(docs):
     assert substring.deduplicate(docs([])).count() == 0
 
 
+def test_repeats_of_many_rows_without_an_id_of_their_own(docs):
+    """Thousands of different texts with a null id, and with one id, keep their own places."""
+    random.seed(16)
+    passage = [f"p{k}" for k in range(30)]
+    rows = [(1, " ".join(passage)), (None, None), (None, ""), (None, "one")]
+    for k in range(6000):
+        words = [f"u{random.randrange(5000)}" for _ in range(random.randint(1, 60))]
+        if k % 2:
+            at = random.randint(0, len(words))
+            words[at:at] = passage[:random.randint(13, 30)]
+        rows.append((None if k % 3 else 77, " ".join(words)))
+    rows += rows[-5:]
+    found = substring.deduplicate(docs(rows)).collect()
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in found) == repeats(rows, 13)
+
+
+def test_rows_without_an_id_go_to_all_blocks(docs):
+    rows = [(None, f"w{k} " * 20) for k in range(400)] + [(None, ""), (7, "one")] * 100
+    sizes = [r["count"] for r in substring._blocks_of(docs(rows, extra=False), 13, 8).groupBy("block").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 200
+
+
 def test_repeats_carry_columns(spark):
     frame = spark.createDataFrame([(1, "a b c", "x", 7), (2, None, None, 8)], "doc_id long, text string, lang string, spans long")
     rows = substring.deduplicate(frame, carry=("lang",)).collect()
