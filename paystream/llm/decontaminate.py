@@ -27,6 +27,8 @@ _TASK_BYTES = 8_000_000
 _BITS = 22
 #: Pairs of a place in a text and one in an item that are held at once.
 _PAIRS = 2_000_000
+#: Words of a passage that counts as a copy, however long its item: unchanged, or more with some changed.
+PASSAGE = 25
 FOUND = "doc_id long, item_id long, similarity double, start long, end long, item_words long"
 
 
@@ -189,11 +191,12 @@ def _copies(
         begin = max(int(starts[t]), int(shift[a]) - int(slack[i]))
         stop = min(int(starts[t + 1]), int(shift[b - 1]) + len(known) + int(slack[i]))
         # A word in common is worth 2 of the score at most.
-        if len(np.unique(own[rare])) < enough and np.isin(known, words[begin:stop]).sum() < least * len(known):
+        limit = min(2 * least * len(known), 2 * PASSAGE)
+        if len(np.unique(own[rare])) < enough and 2 * np.isin(known, words[begin:stop]).sum() < limit:
             continue
         score, end = align(known, words[begin:stop])
         similarity = score / (2 * len(known))
-        if similarity >= least and similarity > best.get((t, i), (0.0,))[0]:
+        if score >= limit and similarity > best.get((t, i), (0.0,))[0]:
             back = align(known[::-1], words[begin:begin + end][::-1])[1]
             best[t, i] = similarity, begin + end - back - int(starts[t]), begin + end - int(starts[t])
     for (t, i), (similarity, start, end) in best.items():
@@ -209,8 +212,8 @@ def find(docs: DataFrame, benchmark: DataFrame, width: int = 3, least: float = 0
     """Copies of test items in the texts: doc_id, item_id, similarity, start, end, item_words.
 
     One row for each text and item it has a copy of, the best one. ``similarity`` is the share
-    of the full alignment score of the item, 1 for an exact copy; copies below ``least`` don't
-    count. Words are compared in lower case without ASCII signs; start and end count such words.
+    of the full alignment score of the item, 1 for an exact copy; copies below ``least`` count
+    only if their score is that of ``PASSAGE`` unchanged words or more. Words are compared in lower case without ASCII signs; start and end count such words.
 
     Null and empty texts and items have no words and match nothing, nor do items shorter than
     ``width`` words. Null ids come back as they are, repeated rows of texts each, of items once.

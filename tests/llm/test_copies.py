@@ -245,6 +245,20 @@ def test_copies_that_were_copied_often(docs, spark):
             assert {r.doc_id for r in decontaminate.remove(docs(rows), benchmark).collect()} == set(range(times, times + 20))
 
 
+def test_passages_of_long_items(docs, spark):
+    """Verbatim and slightly edited passages count whatever share of their item they are; shorter ones don't."""
+    random.seed(17)
+    items = {k: [f"i{k}x{j}" for j in range(n)] for k, n in ((1, 60), (2, 500), (3, 4000))}
+    benchmark = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
+    near = ["x" if k % 10 == 9 else w for k, w in enumerate(items[2][300:340])]
+    copies = [(1, items[1][10:39]), (2, items[2][100:300]), (2, near), (3, items[3][-25:]), (0, items[1][:20]), (0, items[3][50:74])]
+    noise = lambda: [f"a{random.randrange(900)}" for _ in range(80)]
+    rows = [(k, " ".join(noise() + copy + noise())) for k, (_, copy) in enumerate(copies)]
+    found = decontaminate.find(docs(rows), benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(k, i) for k, (i, _) in enumerate(copies) if i}
+    assert {r.doc_id: r.end - r.start for r in found} == {0: 29, 1: 200, 2: 39, 3: 25}
+
+
 def test_matches_in_turns(monkeypatch):
     """Texts with more hits than are held at once give the same."""
     random.seed(15)
