@@ -47,9 +47,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @shipped
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of near copies (five words, 0.8)."""
-    groups = minhash.near_duplicates(docs)
-    gone = groups.where("NOT kept").select("doc_id")
-    return documents(docs).join(gone, "doc_id", "left_anti")
+    return minhash.first_rows(documents(docs))
 
 
 @shipped

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paystream.llm.common import parts, texts_of
@@ -25,7 +25,7 @@ from paystream.llm.hashing import _ODD, mix, run_hashes, word_hashes
 from paystream.session import work_dir
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-_SKETCH = "doc_id long, n_shingles long, print_a long, print_b long, bands array<long>"
+_SKETCH = "doc_id long, row long, n_shingles long, print_a long, print_b long, bands array<long>"
 
 #: Shingles a task holds while it confirms.
 _HELD = 400_000
@@ -73,6 +73,16 @@ class Signer:
         return mix(mix(parts).sum(axis=1, dtype="u8") + np.arange(len(parts), dtype="u8"))
 
 
+def row_key() -> Column:
+    """A 64-bit name of a row's id and text."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and row, the key of both."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), row_key().alias("row"))
+
+
 def sketches(docs: DataFrame, width: int, bins: int, rows: int) -> DataFrame:
     """Size, fingerprint and band hashes of the shingle set of every whole text."""
 
@@ -90,29 +100,29 @@ def sketches(docs: DataFrame, width: int, bins: int, rows: int) -> DataFrame:
                 bands.append(signer.bands(found).view("i8") if len(found) else [])
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"), pa.array(sizes, pa.int64()),
+                    batch.column("doc_id"), batch.column("row"), pa.array(sizes, pa.int64()),
                     *(pa.array(np.array(p, "u8").view("i8"), pa.int64()) for p in prints),
                     pa.array(bands, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "print_a", "print_b", "bands"],
+                ["doc_id", "row", "n_shingles", "print_a", "print_b", "bands"],
             )
 
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, _SKETCH)
-    # Documents without shingles are never joined; their keys are spread by id.
-    own = F.when(F.col("n_shingles") == 0, F.xxhash64("doc_id"))
+    found = keyed(docs).mapInArrow(run, _SKETCH)
+    # Documents without shingles are never joined; their keys are spread by row.
+    own = F.when(F.col("n_shingles") == 0, F.xxhash64("row"))
     return found.withColumn("print_a", F.coalesce(own, F.col("print_a")))
 
 
 def bodies(docs: DataFrame) -> DataFrame:
-    """Texts compressed one by one: doc_id, body."""
+    """Texts compressed one by one: doc_id (the key of the row), body."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(3)
         for batch in parts(batches):
             packed = [press.compress(x.encode()) for x in texts_of(batch)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(packed, pa.binary())], ["doc_id", "body"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(packed, pa.binary())], ["doc_id", "body"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, body binary")
+    return keyed(docs).mapInArrow(run, "doc_id long, body binary")
 
 
 def _shingle_set(body: bytes, width: int) -> frozenset[bytes]:
@@ -290,7 +300,7 @@ def _links(members: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
 def near_duplicates(
     docs: DataFrame, width: int = 5, percent: int = 80, bins: int = 128, rows: int = 4,
 ) -> DataFrame:
-    """Groups of near duplicates: doc_id, n_shingles, class_id, component_id, kept.
+    """Groups of near duplicates: doc_id, n_shingles, class_id, component_id, kept, row, first.
 
     Two documents are linked if they share at least ``percent`` hundredths of their distinct
     runs of ``width`` words (A-Z in lower case; fewer words are one run). ``class_id`` is the
@@ -300,13 +310,17 @@ def near_duplicates(
 
     Null, empty and blank texts have no shingles and are linked with nothing. Null ids join the
     group of their text but never name one; if all are null, so are class and component, and
-    the documents are kept. Repeated rows are in one group and come back each. Other columns
-    are ignored.
+    the documents are kept. Repeated rows are in one group and come back each. Rows are told
+    apart by ``row``, a hash of id and text, and ``first`` is that of the one row of the
+    component that has the least id, if any, and the least hash; null without shingles. Other
+    columns are ignored.
     """
     known = _saved(sketches(docs, width, bins, rows), "sketches")
     key = ["print_a", "print_b", "n_shingles"]
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
     classes = _saved(
-        known.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*key).agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands")),
+        known.where("n_shingles > 0").groupBy(*key).agg(F.min(order).alias("first"), F.any_value("bands").alias("bands"))
+        .select(*key, "first", F.col("first.row").alias("rep"), "bands"),
         "classes",
     )
     spread = classes.select("rep", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
@@ -315,11 +329,30 @@ def near_duplicates(
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     texts = _saved(bodies(docs).join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "bodies")
     label = _links(members, texts, width, percent)
-    named = classes.select(*key, "rep").join(label, F.col("rep") == F.col("node"), "left").select(
-        *key, F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id")
+    named = classes.select(*key, "rep", "first").join(label, F.col("rep") == F.col("node"), "left").select(
+        *key, "first", F.coalesce("component", "rep").alias("component")
+    )
+    heads = named.groupBy("component").agg(F.min("first").alias("head"))
+    named = named.join(heads, "component").select(
+        *key, F.col("first.doc_id").alias("class_id"), F.col("head.doc_id").alias("component_id"), F.col("head.row").alias("first")
     )
-    own = known.select("doc_id", *key).join(named, key, "left")
+    own = known.select("doc_id", "row", *key).join(named, key, "left")
     return own.select(
         "doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"),
-        F.coalesce("component_id", "doc_id").alias("component_id"),
+        F.coalesce("component_id", "doc_id").alias("component_id"), "row", "first",
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def first_rows(docs: DataFrame) -> DataFrame:
+    """One row of each group of near duplicates, repeated rows and null ids included.
+
+    It is the ``first`` of ``near_duplicates``; of rows that repeat it, the least by all columns.
+    Rows without shingles are in no group and stay.
+    """
+    groups = _saved(near_duplicates(docs).where("first IS NOT NULL").select("row", "first"), "groups")
+    gone = groups.where("row <> first").select("row").distinct()
+    many = groups.where("row = first").groupBy("row").count().where("count > 1").select("row")
+    rows = docs.withColumn("row", row_key())
+    single = rows.join(gone.union(many), "row", "left_anti").select(*docs.columns)
+    least = rows.join(many, "row", "left_semi").groupBy("row").agg(F.min(F.struct(*docs.columns)).alias("least"))
+    return single.union(least.select("least.*"))

@@ -72,6 +72,16 @@ def test_near_duplicates(docs):
     assert minhash.near_duplicates(docs([])).count() == 0
 
 
+def test_one_row_of_each_group_stays(spark):
+    """Rows without id, repeated rows and different texts of one id."""
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(50)) for x in "abcd")
+    rows = [(None, a), (None, a), (None, a + " x"), (5, b), (None, b), (5, b), (6, c), (6, d), (7, d), (None, None), (8, "")]
+    frame = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = Counter((r.doc_id, r.text) for r in minhash.first_rows(frame).collect())
+    assert left - Counter([(None, a), (None, a + " x")]) == Counter([(5, b), (6, c), (6, d), (None, None), (8, "")])
+    assert sum(left.values()) == 6
+
+
 def test_hub_that_is_not_the_least(docs):
     """Copies that are only close to a later document are found, though no center is the hub at first."""
     random.seed(4)
