@@ -118,3 +118,19 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_remove
   sha256(array_to_string(CASE WHEN n IS NULL THEN words ELSE list_filter(words, lambda x, i: NOT list_contains(gone, i)) END, ' ')) AS kept_sha256
 FROM s LEFT JOIN k USING (doc_id)
 """
+
+ORACLES["op12_fill_in_middle"] = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || doc_id) AS digest,
+  regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units FROM documents),
+h AS (SELECT *, len(units) AS n, [('0x' || digest[8 * k + 1:8 * k + 8])::BIGINT for k in range(4)] AS h FROM d),
+c AS (SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 90
+    THEN 'plain' WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+  array_to_string(units[b + 1:], '') AS suffix FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefix)::BIGINT END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle)::BIGINT END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+    ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p
+"""

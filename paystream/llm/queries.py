@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paystream.llm import decontaminate, langid, license, minhash, packing, quality, substring, toxicity, urlfilter, warc
-from paystream.llm.common import held_out, shipped, table
+from paystream.llm import (
+    decontaminate, infill, langid, license, minhash, packing, quality, runs, substring, tokens, toxicity, urlfilter, warc,
+)
+from paystream.llm.common import held_out, let, shipped, table, word_array
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -112,3 +114,51 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.train(docs.where(~held_out(F.col("doc_id"))))
     found = langid.identify(docs, model)
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document, and whether it is longer than 2048 tokens."""
+    counted = tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document rearranged, as digests of what came out and of the text put back together."""
+    rows = infill.restore(infill.fill_in_middle(table(spark, sf_dir, "documents")))
+    return rows.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document; those whose id's checksum ends in 0 repeat from some word on."""
+    docs = table(spark, sf_dir, "documents")
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+
+    def repeated(words: Column) -> Column:
+        n, g = F.size(words).cast("long"), F.floor(h / 10)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        tail = F.slice(words, (a + 1).cast("int"), p.cast("int"))
+        copies = F.flatten(F.array_repeat(tail, F.ceil((n - a) / p).cast("int")))
+        return F.array_join(F.slice(F.concat(F.slice(words, F.lit(1), a.cast("int")), copies), F.lit(1), n.cast("int")), " ")
+
+    given = F.when(h % 10 != 0, F.col("text")).otherwise(
+        let(word_array(F.col("text")), lambda w: F.when(F.size(w) > 0, repeated(w)))
+    )
+    found = runs.periodic_runs(docs.select("doc_id", given.alias("text")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    # Structs are compared field by field.
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), -r["start"], -r["period"])))
+    best = best.cast("struct<length:long,start:long,period:long>")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+        F.floor(F.col("best.length") * 1000 / -F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
