@@ -26,10 +26,13 @@ AGGREGATES_GROUP = "paystream-aggregates"
 
 @dataclass(frozen=True)
 class StreamConfig:
-    """Durations (seconds), topics and address of one deployment."""
+    """Durations (seconds), state, topics and address of one deployment."""
 
     window_seconds: int = WINDOW_SECONDS
     lateness_seconds: int = LATENESS_SECONDS
+    # State keys over which the exact stream spreads the ids it remembers; fixed for the life of
+    # a checkpoint.
+    buckets: int = 1024
     events_topic: str = EVENTS_TOPIC
     aggregates_topic: str = AGGREGATES_TOPIC
     dead_letter_topic: str = DEAD_LETTER_TOPIC

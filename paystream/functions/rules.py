@@ -9,14 +9,18 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
+from paystream.functions.digits import is_integer, is_negative, is_positive
 from paystream.functions.text import (
     as_text,
     integer_of,
+    is_other_number,
     is_single_json,
     is_surely_text,
     json_in_array,
     read_in_array,
     text_of,
+    token_of,
+    wide_integer_of,
 )
 
 BAD_ENCODING = "encoding:value"
@@ -32,7 +36,8 @@ class Fields:
     """The declared fields of a JSON object: dotted name -> ``"text"`` or ``"integer"``.
 
     :meth:`read` decodes them once, in a chain of projections in which each step only uses
-    finished columns; rules and outputs then refer to :meth:`value`.
+    finished columns; rules and outputs then refer to :meth:`value`, and for integers beyond 64
+    bits to :meth:`wide`.
     """
 
     def __init__(self, declared: Mapping[str, str]) -> None:
@@ -59,11 +64,13 @@ class Fields:
 
         A first, typed reading serves nearly every record. Where it leaves any doubt about the
         type of a field, the record is parsed again into variants, which tell absent from null
-        and an integer from 1.0, true or "1".
+        and an integer from 1.0, true or "1". Only where an integer field then holds a number
+        that is no integer of 64 bits, its digits are read as they are written.
         """
         sql_types = {"text": "string", "integer": "bigint"}
         typed = self._ddl({name: sql_types[how] for name, how in self.declared.items()})
         untyped = self._ddl(dict.fromkeys(self.declared, "variant"))
+        integers = [name for name, how in self.declared.items() if how == "integer"]
         certain = all_hold(*(
             is_surely_text(f"_read.{name}") if how == "text" else f"_read.{name} IS NOT NULL"
             for name, how in self.declared.items()
@@ -91,6 +98,9 @@ class Fields:
             f"CASE WHEN _certain THEN _read.{name} "
             f"ELSE {decode[how](f'_object.{name}', self.kind(name))} END AS {self.value(name)}"
             for name, how in self.declared.items()
+        ), *(
+            f"{wide_integer_of(token_of('_text', name), self.kind(name))} AS {self.wide(name)}"
+            for name in integers
         ))
 
     def kind(self, name: str) -> str:
@@ -101,6 +111,21 @@ class Fields:
         """Decoded value; NULL if absent or of another type."""
         return f"_val_{_flat(name)}"
 
+    def wide(self, name: str) -> str:
+        """Digits of an integer beyond 64 bits, whose :meth:`value` is NULL."""
+        return f"_wide_{_flat(name)}"
+
+    def is_integer(self, name: str) -> str:
+        return is_integer(self.value(name), self.wide(name))
+
+    def is_positive(self, name: str) -> str:
+        """NULL if it is no integer."""
+        return is_positive(self.value(name), self.wide(name))
+
+    def is_negative(self, name: str) -> str:
+        """NULL if it is no integer."""
+        return is_negative(self.value(name), self.wide(name))
+
     def is_missing(self, name: str) -> str:
         """The key is absent. JSON null is present."""
         return f"({self.value(name)} IS NULL AND {self.kind(name)} IS NULL)"

@@ -66,5 +66,24 @@ def text_of(variant: str, kind: str) -> str:
 
 
 def integer_of(variant: str, kind: str) -> str:
-    """The value of a JSON integer, NULL for any other type (1.0, 1e3 and true are none)."""
+    """The value of a JSON integer of 64 bits, NULL for any other type (1.0, 1e3 and true are none)."""
     return f"CASE WHEN {kind} = 'BIGINT' THEN try_variant_get({variant}, '$', 'bigint') END"
+
+
+def token_of(text: str, name: str) -> str:
+    """A field of a JSON object as it is written; of several equal keys the first one's."""
+    return f"get_json_object({text}, '$.{name}')"
+
+
+def is_other_number(kind: str) -> str:
+    """Whether a variant holds a number that is no integer of 64 bits."""
+    return f"({kind} LIKE 'DECIMAL%' OR {kind} = 'DOUBLE')"
+
+
+def wide_integer_of(token: str, kind: str) -> str:
+    """The digits of a JSON integer beyond 64 bits, NULL for any other value.
+
+    ``token`` is the value read as text. Variants keep 38 digits at most and drop ".0", the
+    token of an integer is written out whole.
+    """
+    return f"CASE WHEN {is_other_number(kind)} AND {token} RLIKE '^-?[0-9]+$' THEN {token} END"

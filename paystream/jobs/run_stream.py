@@ -15,11 +15,9 @@ from paystream.config import (
     EVENTS_TOPIC,
     bootstrap_servers,
 )
-from paystream.operators.contract import check_events
 from paystream.operators.dedup import deduplicate
-from paystream.operators.route import confirmed, dead_letters, invalid_events, valid_events
 from paystream.operators.windows import aggregate_windows, label_windows, serialize_aggregates
-from paystream.session import builder, stream_session
+from paystream.session import builder, stream_session, work_dir
 from paystream.sources.records import (
     bounded,
     kafka_source_options,
@@ -31,8 +29,9 @@ from paystream.sources.records import (
     write_log,
     write_topic,
 )
-from paystream.streaming.exact import pane_stream
-from paystream.streaming.fast import aggregate_stream, dead_letter_stream
+from paystream.sources.routed import read_letters, read_payments, route_writer, write_routed
+from paystream.streaming.exact import pane_payments
+from paystream.streaming.fast import aggregate_payments
 
 
 def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
@@ -46,7 +45,8 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--checkpoint", help="folder of the checkpoints, needed to stream")
     parser.add_argument("--exact", action="store_true", help="publish each pane of each window")
     parser.add_argument("--state-partitions", type=int, help="fixed for a checkpoint's life")
-    parser.add_argument("--per-batch", type=int, help="most records (files) of a micro-batch")
+    parser.add_argument("--per-batch", type=int, help="most records (files) parsed in a micro-batch")
+    parser.add_argument("--bytes-per-batch", help="most parsed bytes counted in a micro-batch, as 2g")
     return parser.parse_args(argv)
 
 
@@ -83,23 +83,30 @@ class Logs:
 def run_bounded(logs: Logs, args: argparse.Namespace) -> None:
     """A finite run closes all its windows, so it is the batch form of the same operators."""
     records = bounded(logs.read(args.input_topic, False, EVENTS_GROUP), args.max_num_records)
-    checked = check_events(records).persist()
-    payments = deduplicate(confirmed(valid_events(checked)))
-    windows = label_windows(aggregate_windows(payments))
+    path = work_dir(logs.spark, "routed")
+    write_routed(records, path)
+    windows = label_windows(aggregate_windows(deduplicate(read_payments(logs.spark, path))))
     logs.write(serialize_aggregates(windows), args.aggregates_topic)
-    logs.write(dead_letters(invalid_events(checked)).select("key", "value"), args.dlq_topic)
-    checked.unpersist()
+    logs.write(read_letters(logs.spark, path), args.dlq_topic)
 
 
 def start_streams(logs: Logs, args: argparse.Namespace) -> list:
-    """Two queries, each with a checkpoint of its own, so neither waits for the other."""
+    """One query reads and parses the topic; one for each output goes on from there.
+
+    What the first one has committed both others will read, exactly once, however often any of
+    them is stopped; none waits for another.
+    """
     records = logs.read(args.input_topic, True, EVENTS_GROUP)
+    path = f"{args.checkpoint}/routed"
+    first = route_writer(records, path, f"{args.checkpoint}/route").start()
+    payments = read_payments(logs.spark, path, True, args.bytes_per_batch)
     if args.exact:
-        rows = serialize_aggregates(pane_stream(records), "pane_index")
+        rows = serialize_aggregates(pane_payments(payments), "pane_index")
     else:
-        rows = serialize_aggregates(aggregate_stream(records))
-    letters = dead_letter_stream(records).select("key", "value")
+        rows = serialize_aggregates(aggregate_payments(payments))
+    letters = read_letters(logs.spark, path, True, args.bytes_per_batch)
     return [
+        first,
         logs.writer(rows, args.aggregates_topic).start(),
         logs.writer(letters, args.dlq_topic).start(),
     ]

@@ -25,6 +25,11 @@ _OUT = {
     "transaction_count": "payload.transaction_count",
     "total_amount_pyg": "payload.total_amount_pyg",
 }
+# The same for the digits of integers beyond 64 bits.
+_OUT_WIDE = {
+    "transaction_count_wide": "payload.transaction_count",
+    "total_amount_wide": "payload.total_amount_pyg",
+}
 
 
 def _equals_one() -> str:
@@ -47,7 +52,7 @@ def _error() -> str:
     fields, get = AGGREGATE_FIELDS, AGGREGATE_FIELDS.value
 
     def negative(name: str) -> str:
-        return f"({get(name)} IS NULL OR {get(name)} < 0)"
+        return f"coalesce({fields.is_negative(name)}, true)"
 
     checks = {
         "missing:schema_version": fields.is_missing("schema_version"),
@@ -68,14 +73,18 @@ def _error() -> str:
 
 
 def check_aggregates(records: DataFrame) -> DataFrame:
-    """Add the typed aggregate columns and ``error``, the first broken rule or NULL."""
+    """Add the typed aggregate columns and ``error``, the first broken rule or NULL.
+
+    Numbers beyond 64 bits keep the contract; their digits are in ``transaction_count_wide`` and
+    ``total_amount_wide``.
+    """
     get = AGGREGATE_FIELDS.value
     texts = ("key", "window_start", "window_end", "payload.merchant_id")
     valid = all_hold(
         f"{get('schema_version')} = {SCHEMA_VERSION}",
         *(f"{get(name)} <> ''" for name in texts),
-        f"{get('payload.transaction_count')} >= 0",
-        f"{get('payload.total_amount_pyg')} >= 0",
+        f"NOT {AGGREGATE_FIELDS.is_negative('payload.transaction_count')}",
+        f"NOT {AGGREGATE_FIELDS.is_negative('payload.total_amount_pyg')}",
         f"{get('key')} = {_expected_key()}",
         f"key = cast({get('key')} AS BINARY)",
     )
@@ -83,5 +92,6 @@ def check_aggregates(records: DataFrame) -> DataFrame:
         "*", f"{valid} AS _valid", f"{decoding_error()} AS _undecoded"
     )
     columns = {out: get(name) for out, name in _OUT.items()}
+    columns |= {out: AGGREGATE_FIELDS.wide(name) for out, name in _OUT_WIDE.items()}
     columns["error"] = f"CASE WHEN NOT _valid THEN {_error()} END"
     return settle(parsed, columns, keep=records.columns)

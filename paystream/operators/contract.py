@@ -46,7 +46,7 @@ def _is_valid() -> str:
         "_zoned",
         f"{get('payload.transaction_id')} <> ''",
         f"{get('payload.account_id')} <> ''",
-        f"{get('payload.amount')} > 0",
+        EVENT.is_positive("payload.amount"),
         f"{get('payload.currency')} = '{CURRENCY}'",
         f"{get('payload.status')} IN ({statuses})",
         f"{get('key')} = {get('payload.merchant_id')}",
@@ -60,14 +60,17 @@ def _errors() -> str:
     def text_error(name: str) -> str:
         return EVENT.error(name, ("invalid", EVENT.is_empty(name)))
 
-    version, at, amount = get("schema_version"), get("event_time"), get("payload.amount")
+    version, at = get("schema_version"), get("event_time")
     key, merchant = get("key"), get("payload.merchant_id")
     inside = [
         text_error("payload.transaction_id"),
         text_error("payload.merchant_id"),
         text_error("payload.account_id"),
         EVENT.error(
-            "payload.amount", ("type", f"{amount} IS NULL"), ("range", f"{amount} <= 0")),
+            "payload.amount",
+            ("type", f"NOT {EVENT.is_integer('payload.amount')}"),
+            ("range", f"NOT {EVENT.is_positive('payload.amount')}"),
+        ),
         EVENT.error("payload.currency", (
             "invalid", EVENT.is_none_of("payload.currency", [CURRENCY]))),
         EVENT.error("payload.status", (
@@ -76,8 +79,8 @@ def _errors() -> str:
     return collect_errors(
         EVENT.error(
             "schema_version",
-            ("type", f"{version} IS NULL"),
-            ("unsupported", f"{version} <> {SCHEMA_VERSION}"),
+            ("type", f"NOT {EVENT.is_integer('schema_version')}"),
+            ("unsupported", f"NOT coalesce({version} = {SCHEMA_VERSION}, false)"),
         ),
         text_error("event_id"),
         text_error("key"),
@@ -98,7 +101,8 @@ def check_events(records: DataFrame, value: str = "value") -> DataFrame:
     """Add the typed event columns and ``errors``; an event is valid iff ``errors`` is empty.
 
     Added columns: ``event_id, event_key, event_time, transaction_id, merchant_id, account_id,
-    amount, currency, status, event_ts`` (NULL where missing or of a wrong type) and
+    amount, currency, status, event_ts`` (NULL where missing or of a wrong type),
+    ``amount_wide`` (the digits of an amount beyond 64 bits, whose ``amount`` is NULL) and
     ``errors ARRAY<STRING>`` with every broken rule in contract order. A value that is no JSON
     object has one error and no fields. Fields outside the contract are ignored; the record's
     ``value`` still holds them.
@@ -121,5 +125,7 @@ def check_events(records: DataFrame, value: str = "value") -> DataFrame:
         f"WHEN _undecoded IS NOT NULL THEN array(_undecoded) ELSE {_errors()} END"
     )
     columns = {out: EVENT.value(name) for out, name in EVENT_COLUMNS.items()}
-    columns |= {"event_ts": "_event_ts", "errors": errors}
+    columns |= {
+        "amount_wide": EVENT.wide("payload.amount"), "event_ts": "_event_ts", "errors": errors,
+    }
     return settle(parsed, columns, keep=records.columns)

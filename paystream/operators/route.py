@@ -9,6 +9,7 @@ from paystream.config import COUNTED_STATUS
 from paystream.functions.rules import BAD_ENCODING, BAD_JSON, NO_OBJECT
 from paystream.functions.text import as_text, readable
 from paystream.operators.contract import check_events
+from paystream.schemas import LETTERS, PAYMENTS, payment_columns
 
 
 def valid_events(checked: DataFrame) -> DataFrame:
@@ -36,13 +37,21 @@ def _letter_key() -> Column:
 
 
 def _letter_value() -> Column:
-    """``errors`` and ``raw_data``: the event as an object, or readable text if it is none."""
+    """``errors`` and ``raw_data``: the event as an object, or readable text if it is none.
+
+    An object that a variant would change (numbers of many digits, NaN) stands there as it was
+    written, which it can: it is one whole JSON document.
+    """
     undecoded = f"get(errors, 0) IN ('{BAD_ENCODING}', '{BAD_JSON}', '{NO_OBJECT}')"
+    text = as_text("value")
     raw = (
-        f"CASE WHEN {undecoded} THEN cast({readable('value')} AS VARIANT) "
-        f"ELSE try_parse_json({as_text('value')}) END"
+        f"CASE WHEN {undecoded} THEN to_json(cast({readable('value')} AS VARIANT)) "
+        f"WHEN {text} RLIKE '[0-9]{{19}}' THEN {text} "
+        f"ELSE coalesce(to_json(try_parse_json({text})), {text}) END"
+    )
+    return F.expr(
+        f"""cast(concat('{{"errors":', to_json(errors), ',"raw_data":', {raw}, '}}') AS BINARY)"""
     )
-    return F.expr(f"cast(to_json(named_struct('errors', errors, 'raw_data', {raw})) AS BINARY)")
 
 
 def dead_letters(invalid: DataFrame) -> DataFrame:
@@ -55,6 +64,26 @@ def dead_letters(invalid: DataFrame) -> DataFrame:
     )
 
 
+def routed(checked: DataFrame) -> DataFrame:
+    """Both outputs of one parse as rows of one table: ROUTED.
+
+    A letter has ``key`` and ``value``, a payment the columns that are counted. Written by one
+    writer, partitioned by ``route``, both come into being in one commit. Valid events that do
+    not count are left out.
+    """
+    bad = F.size("errors") > 0
+    counts = F.col("status") == COUNTED_STATUS
+    return checked.filter(bad | counts).select(
+        F.when(bad, LETTERS).otherwise(PAYMENTS).alias("route"),
+        F.when(bad, _letter_key()).alias("key"),
+        F.when(bad, _letter_value()).alias("value"),
+        *(
+            F.col(name) if name in ("partition", "offset") else F.when(~bad, F.col(name)).alias(name)
+            for name in payment_columns()
+        ),
+    )
+
+
 def routed_log(checked: DataFrame, confirmed_topic: str, dead_letter_topic: str) -> DataFrame:
     """Both outputs of one parse as records with a ``topic`` column, for one writer.
 

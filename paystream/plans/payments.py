@@ -54,7 +54,10 @@ def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     for divisor, name in reversed(FAULTS.items()):
         fault = F.when(i % divisor == 0, name).otherwise(fault)
     columns = ["event_id", "ts", "user_id", "event_type", "value"]
-    return load(spark, sf_dir, "events").select(*columns).select(
+    events = load(spark, sf_dir, "events").select(*columns)
+    # A file of one row group is read by one task; a topic would have been read by many.
+    events = events.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "event_id")
+    return events.select(
         i.alias("i"),
         F.concat(F.lit("evt-"), i).alias("event_id"),
         F.timestamp_micros(F.expr(event_us)).alias("event_ts"),

@@ -490,7 +490,7 @@ def _tick(spark: SparkSession, sf_dir: str, seconds: int) -> DataFrame:
     ).select(
         F.lit(f"{TICK}-{seconds}").alias("event_id"), "event_ts",
         F.lit(TICK).alias("merchant_id"), F.lit(1).cast("bigint").alias("amount"),
-        F.lit(0).alias("partition"), F.lit(2**62 + seconds).alias("offset"),
+        F.lit(None).cast("string").alias("amount_wide"), F.lit(0).alias("partition"), F.lit(2**62 + seconds).alias("offset"),
     )
 
 

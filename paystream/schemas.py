@@ -9,10 +9,19 @@ RECORD = (
 
 # One counted payment: what deduplication and windows work on.
 PAYMENT = (
-    "event_id STRING, event_ts TIMESTAMP, merchant_id STRING, amount BIGINT, "
+    "event_id STRING, event_ts TIMESTAMP, merchant_id STRING, amount BIGINT, amount_wide STRING, "
     "partition INT, offset BIGINT"
 )
 
+
+def payment_columns() -> list[str]:
+    return [part.split()[0] for part in PAYMENT.split(", ")]
+
+
+# Both outputs of one parse, by route, which is a folder.
+PAYMENTS, LETTERS = "payments", "letters"
+ROUTED = f"key BINARY, value BINARY, {PAYMENT}, route STRING"
+
 # The rows a user queries.
 AGGREGATE = (
     "aggregate_key STRING, merchant_id STRING, window_start STRING, window_end STRING, "

@@ -52,27 +52,68 @@ def read_log(
     return reader.parquet(path)
 
 
-def bounded(log: DataFrame, records: int | None) -> DataFrame:
-    """The first ``records`` records by partition and offset, for a trial run; None for all.
+#: Ranges into which offsets are divided when one is looked for.
+RANGES = 1024
+
+
+def _last_offset(offsets: DataFrame, low: int, high: int, records: int) -> int:
+    """The offset of the record number ``records`` between ``low`` and ``high``.
 
-    A filter on the log, so whatever comes next runs on as many tasks as the log has: counts per
-    partition tell where the run ends, and in that partition the last offset is looked up.
-    Offsets of a partition must differ.
+    Counts of equal ranges of offsets tell which range it is in, and so on within that one: each
+    pass is one small aggregation on as many tasks as the log has, and nothing is sorted.
     """
-    if records is None:
-        return log
+    while low < high:
+        width = -(-(high - low + 1) // RANGES)
+        counts = (
+            offsets.where(F.col("offset").between(low, high))
+            .groupBy(F.expr(f"(offset - {low}) div {width}").alias("range")).count().orderBy("range")
+        )
+        for row in counts.collect():
+            if records <= row["count"]:
+                low, high = low + row["range"] * width, min(high, low + (row["range"] + 1) * width - 1)
+                break
+            records -= row["count"]
+    return low
+
+
+def end_of_run(log: DataFrame, records: int | None) -> list[tuple[str, int, int]]:
+    """Where a bounded run ends: ``(topic, partition, next offset)`` of each partition it reads.
+
+    The run has the first ``records`` records by topic, partition and offset, or all that are
+    there now (None). Offsets of a partition must differ.
+    """
+    ends = []
     left = records
-    for row in log.groupBy("partition").count().orderBy("partition").collect():
-        if row["count"] <= left:
-            left -= row["count"]
-            continue
-        own = log.where(F.col("partition") == row["partition"]).select("offset")
-        last = own.orderBy("offset").limit(left).agg(F.max("offset")).first()[0] if left else None
-        inside = F.col("partition") < row["partition"]
-        if last is not None:
-            inside |= (F.col("partition") == row["partition"]) & (F.col("offset") <= last)
-        return log.where(inside)
-    return log
+    place = ["topic", "partition"]
+    sizes = log.groupBy(*place).agg(
+        F.count(F.lit(1)).alias("n"), F.min("offset").alias("low"), F.max("offset").alias("high")
+    )
+    for row in sizes.orderBy(*place).collect():
+        if left is None or row["n"] <= left:
+            ends.append((row["topic"], row["partition"], row["high"] + 1))
+        elif left:
+            same = F.col("topic").eqNullSafe(row["topic"]) & (F.col("partition") == row["partition"])
+            last = _last_offset(log.where(same).select("offset"), row["low"], row["high"], left)
+            ends.append((row["topic"], row["partition"], last + 1))
+        left = left if left is None else left - min(left, row["n"])
+    return ends
+
+
+def until(log: DataFrame, ends: Sequence[tuple[str, int, int]]) -> DataFrame:
+    """The records before these ends, which stay the same when more come in.
+
+    A join with a broadcast row for each partition, so whatever comes next runs on as many tasks
+    as the log has.
+    """
+    ends = log.sparkSession.createDataFrame(list(ends), "topic STRING, partition INT, next BIGINT")
+    end = F.broadcast(ends.select(F.col("topic").alias("_topic"), F.col("partition").alias("_partition"), "next"))
+    same = log["topic"].eqNullSafe(F.col("_topic")) & (log["partition"] == F.col("_partition"))
+    return log.join(end, same & (log["offset"] < F.col("next")), "left_semi")
+
+
+def bounded(log: DataFrame, records: int | None) -> DataFrame:
+    """The first ``records`` records by partition and offset, for a trial run; None for all."""
+    return log if records is None else until(log, end_of_run(log, records))
 
 
 def keyed_records(events: DataFrame, key: str = "key", beside: Sequence[str] = ()) -> DataFrame:

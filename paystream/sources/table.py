@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from paystream.operators.aggregate_contract import check_aggregates
 from paystream.operators.latest import latest_per_key
 from paystream.schemas import AGGREGATE_COLUMNS, VERSIONS
-from paystream.sources.records import bounded
+from paystream.sources.records import end_of_run, until
 
 TABLE_NAME = "merchant_window_aggregates"
 
@@ -28,10 +28,19 @@ def create_table(spark: SparkSession, path: str) -> None:
 
 
 def checked_rows(records: DataFrame) -> DataFrame:
-    """Typed rows of aggregate records; the first broken contract fails the job that reads them."""
+    """Typed rows of aggregate records; the first broken contract fails the job that reads them.
+
+    So does a number that the table's 64-bit columns cannot hold, though the contract allows it.
+    """
     where = F.concat_ws("/", "topic", "partition", "offset")
     refused = F.raise_error(F.concat(F.lit("aggregate refused: "), "error", F.lit(" at "), where))
-    key = F.when(F.col("error").isNull(), F.col("aggregate_key")).otherwise(refused)
+    fits = F.col("transaction_count_wide").isNull() & F.col("total_amount_wide").isNull()
+    too_wide = F.raise_error(F.concat(F.lit("aggregate refused: number beyond 64 bits at "), where))
+    key = (
+        F.when(F.col("error").isNotNull(), refused)
+        .when(~fits, too_wide)
+        .otherwise(F.col("aggregate_key"))
+    )
     return check_aggregates(records).select(
         key.alias("aggregate_key"), *AGGREGATE_COLUMNS[1:], F.col("offset").alias("version")
     )
@@ -67,7 +76,8 @@ def materialize(records: DataFrame, path: str, run: str, batch_id: int) -> None:
 def materialize_next(records: DataFrame, path: str, most: int | None = None) -> None:
     """Store the first ``most`` records that no earlier run of this kind has stored.
 
-    The rows come first, the offsets after them: a run that stops in between reads its records
+    Where the run ends is settled before it starts, and both the rows and the progress that is
+    noted follow from that; what comes in meanwhile waits for the next run. The rows come first, the offsets after them: a run that stops in between reads its records
     again, which changes nothing, and one that fails leaves both as they were.
     """
     spark = records.sparkSession
@@ -80,9 +90,12 @@ def materialize_next(records: DataFrame, path: str, most: int | None = None) ->
         rest = records.join(F.broadcast(done), ["topic", "partition"], "left").where(
             "offset >= coalesce(next, offset)"
         ).select(*records.columns)
-    part = bounded(rest, most)
-    materialize(part, path, f"bounded-{uuid.uuid4().hex}", 0)
-    part.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next")).coalesce(1).write.mode("append").parquet(log)
+    ends = end_of_run(rest, most)
+    if not ends:
+        return
+    materialize(until(rest, ends), path, f"bounded-{uuid.uuid4().hex}", 0)
+    progress = spark.createDataFrame(ends, "topic STRING, partition INT, next BIGINT")
+    progress.coalesce(1).write.mode("append").parquet(log)
 
 
 def stored_versions(spark: SparkSession, path: str) -> DataFrame:

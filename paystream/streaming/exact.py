@@ -3,13 +3,14 @@
 Both take the watermark to be the greatest event time of all earlier micro-batches. It is set
 ahead of a stateless step in Python, so late rows are not dropped on entry: these operators decide
 themselves, by the rules of the horizon and of allowed lateness, what is too late.
+
+Amounts travel as digits and are summed as Python integers, so they may have any size.
 """
 
 from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
-from decimal import Decimal
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -18,48 +19,70 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from paystream.config import DEFAULT, StreamConfig
-from paystream.operators.windows import label_windows
-from paystream.streaming.fast import CLOCKED, combine_copies, confirmed_payments
+from paystream.functions.digits import digits_of
+from paystream.operators.windows import label_windows, with_wide
+from paystream.streaming.fast import combine_copies, confirmed_payments
 
 # Send the code below to the executors with each task; they need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 NO_DELAY = "0 seconds"
+CLOCKED = (
+    "event_id STRING, event_us BIGINT, merchant_id STRING, digits STRING, "
+    "partition INT, offset BIGINT"
+)
+#: An accepted payment and the watermark at which it was accepted.
+ACCEPTED = f"{CLOCKED}, clock_us BIGINT"
+_PART = (
+    "merchant_id STRING, window_us BIGINT, late BOOLEAN, partition INT, offset BIGINT, "
+    "n BIGINT, digits STRING"
+)
 PANE = (
     "merchant_id STRING, window_us BIGINT, timing STRING, pane_index BIGINT, "
-    "transaction_count BIGINT, total_amount_pyg DECIMAL(38,0)"
+    "transaction_count BIGINT, total_amount_pyg STRING"
 )
 
 
 class _OncePerHorizon(StatefulProcessor):
-    """Remembers an id until the watermark has passed its first event by the horizon."""
+    """Remembers the ids of a bucket, each until the watermark has passed its first event by the horizon.
+
+    The ids of a bucket are read and written as one list, so a payment costs a fraction of the
+    round trips that a state of its own would. What has expired is left out whenever the list is
+    written; a timer does that for buckets to which nothing comes any more.
+    """
 
     def __init__(self, horizon_us: int) -> None:
         self.horizon_us = horizon_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.deadline = handle.getValueState("deadline", "deadline_us BIGINT")
+        self.known = handle.getListState("known", "event_id STRING, deadline_us BIGINT")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        watermark_us = timerValues.getCurrentWatermarkInMs() * 1000
-        known = self.deadline.get()
-        # Timers only run after the rows of a batch, so an id may be past its deadline here.
-        if known is not None and known[0] > watermark_us:
-            for _ in rows:
-                pass
-            return
-        first = min(rows, key=lambda row: (row.partition, row.offset))
-        deadline_us = first.event_us + self.horizon_us
-        self.deadline.update((deadline_us,))
-        self.handle.registerTimer(-(-deadline_us // 1000))
-        yield first
+    def _live(self, watermark_us: int) -> dict[str, int]:
+        return {i: t for i, t in self.known.get() if t > watermark_us} if self.known.exists() else {}
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        known = self.deadline.get()
-        # The id may have been accepted again since; then a later timer is pending.
-        if known is not None and known[0] <= expiredTimerInfo.getExpiryTimeInMs() * 1000:
-            self.deadline.clear()
+    def _keep(self, live: dict[str, int]) -> None:
+        if live:
+            self.known.put(list(live.items()))
+            # Whole horizons, so that a bucket has few timers at a time.
+            latest = -(-max(live.values()) // self.horizon_us) * self.horizon_us
+            self.handle.registerTimer(-(-latest // 1000))
+        else:
+            self.known.clear()
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        watermark_us = timerValues.getCurrentWatermarkInMs() * 1000
+        live = self._live(watermark_us)
+        arrived = pd.concat(rows, ignore_index=True).sort_values(["partition", "offset"], kind="stable")
+        first = arrived.drop_duplicates("event_id")
+        new = first[~first["event_id"].isin(live)]
+        deadlines = zip(new["event_id"], (new["event_us"] + self.horizon_us).tolist())
+        live.update((i, t) for i, t in deadlines if t > watermark_us)
+        self._keep(live)
+        yield new.assign(clock_us=watermark_us)[[part.split()[0] for part in ACCEPTED.split(", ")]]
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self._keep(self._live(timerValues.getCurrentWatermarkInMs() * 1000))
         return iter([])
 
     def close(self) -> None:
@@ -68,38 +91,53 @@ class _OncePerHorizon(StatefulProcessor):
 
 def with_event_clock(payments: DataFrame, delay: str = NO_DELAY) -> DataFrame:
     """Payments with event time as microseconds, after the watermark was set on it."""
-    return payments.withWatermark("event_ts", delay).select(
-        "event_id", F.unix_micros("event_ts").alias("event_us"), "merchant_id", "amount",
-        "partition", "offset",
+    return with_wide(payments).withWatermark("event_ts", delay).select(
+        "event_id", F.unix_micros("event_ts").alias("event_us"), "merchant_id",
+        F.expr(digits_of("amount", "amount_wide")).alias("digits"), "partition", "offset",
     )
 
 
 def deduplicate_exactly(clocked: DataFrame, config: StreamConfig = DEFAULT) -> DataFrame:
     """First arrival per id; the id passes again once the watermark is a horizon past it.
 
-    A duplicate does not prolong the horizon. Input and output as of :func:`with_event_clock`.
+    A duplicate does not prolong the horizon. Input as of :func:`with_event_clock`, output with
+    the watermark at which each payment was accepted.
     """
+    bucket = F.pmod(F.xxhash64("event_id"), F.lit(config.buckets))
     return (
         combine_copies(clocked)
-        .groupBy("event_id")
-        .transformWithState(
-            _OncePerHorizon(config.horizon_seconds * 1_000_000), CLOCKED, "append", "EventTime"
+        .withColumn("bucket", bucket)
+        .groupBy("bucket")
+        .transformWithStateInPandas(
+            _OncePerHorizon(config.horizon_seconds * 1_000_000), ACCEPTED, "append", "EventTime"
         )
     )
 
 
-def _amounts_per_window(window_us: int):
-    """Payments of a window within one Arrow batch as one row with their amounts in order."""
+def _parts(window_us: int, lateness_us: int):
+    """Payments of a window within one Arrow batch: one row for all that came before its end.
+
+    Those that came later stay rows of their own, those that came too late are left out. Where it
+    is not known when they came, ``late`` is null.
+    """
     def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = [part.split()[0] for part in _PART.split(", ")]
         for rows in batches:
-            if rows.empty:
-                continue
-            ordered = rows.sort_values(["partition", "offset"], kind="stable")
-            start = ordered["event_us"] - ordered["event_us"] % window_us
-            groups = ordered.assign(window_us=start).groupby(
-                ["merchant_id", "window_us"], sort=False
-            )
-            yield groups["amount"].agg(list).rename("amounts").reset_index()
+            start = rows["event_us"] - rows["event_us"] % window_us
+            sums: dict[tuple[str, int], tuple[int, int]] = {}
+            out: list[tuple] = []
+            clocks = rows["clock_us"] if "clock_us" in rows else pd.Series([None] * len(rows), dtype=object)
+            columns = (rows["merchant_id"], start, rows["digits"], clocks, rows["partition"], rows["offset"])
+            for merchant, at, digits, clock, partition, offset in zip(*(c.tolist() for c in columns)):
+                if clock is None:
+                    out.append((merchant, at, None, partition, offset, 1, digits))
+                elif clock < at + window_us:
+                    n, total = sums.get((merchant, at), (0, 0))
+                    sums[merchant, at] = n + 1, total + int(digits)
+                elif clock < at + window_us + lateness_us:
+                    out.append((merchant, at, True, partition, offset, 1, digits))
+            out += [(*key, False, 0, 0, n, str(total)) for key, (n, total) in sums.items()]
+            yield pd.DataFrame(out, columns=names)
 
     return combine
 
@@ -113,9 +151,7 @@ class _Panes(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.sums = handle.getValueState(
-            "sums", "count BIGINT, total DECIMAL(38,0), panes BIGINT"
-        )
+        self.sums = handle.getValueState("sums", "count BIGINT, total STRING, panes BIGINT")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         watermark_us = timerValues.getCurrentWatermarkInMs() * 1000
@@ -126,10 +162,14 @@ class _Panes(StatefulProcessor):
             return
         known = self.sums.get()
         count, total, panes = (known[0], int(known[1]), known[2]) if known else (0, 0, 0)
-        if watermark_us < end_us:
-            for row in rows:
-                count += len(row.amounts)
-                total += sum(row.amounts)
+        late = []
+        for row in rows:
+            if row.late or row.late is None and watermark_us >= end_us:
+                late.append((row.partition, row.offset, int(row.digits)))
+            else:
+                count += row.n
+                total += int(row.digits)
+        if not late:
             if known is None:
                 self.handle.registerTimer(-(-end_us // 1000))
         else:
@@ -137,14 +177,14 @@ class _Panes(StatefulProcessor):
                 # The end has passed, but its timer only runs after these rows.
                 yield self._pane(key, "ON_TIME", 0, count, total)
                 panes = 1
-            for row in rows:
-                for amount in row.amounts:
-                    count += 1
-                    total += amount
-                    yield self._pane(key, "LATE", panes, count, total)
-                    panes += 1
-            self.handle.registerTimer(-(-(end_us + self.lateness_us) // 1000))
-        self.sums.update((count, Decimal(total), panes))
+            for _, _, amount in sorted(late):
+                count += 1
+                total += amount
+                yield self._pane(key, "LATE", panes, count, total)
+                panes += 1
+            if known is None or known[2] == 0:
+                self.handle.registerTimer(-(-(end_us + self.lateness_us) // 1000))
+        self.sums.update((count, str(total), panes))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         known = self.sums.get()
@@ -154,7 +194,7 @@ class _Panes(StatefulProcessor):
         count, total, panes = known[0], int(known[1]), known[2]
         if panes == 0:
             yield self._pane(key, "ON_TIME", 0, count, total)
-            self.sums.update((count, Decimal(total), 1))
+            self.sums.update((count, str(total), 1))
         if timerValues.getCurrentWatermarkInMs() * 1000 >= end_us + self.lateness_us:
             self.sums.clear()
         elif expiredTimerInfo.getExpiryTimeInMs() * 1000 < end_us + self.lateness_us:
@@ -164,30 +204,30 @@ class _Panes(StatefulProcessor):
     def _pane(key, timing: str, index: int, count: int, total: int) -> Row:
         return Row(
             merchant_id=key[0], window_us=key[1], timing=timing, pane_index=index,
-            transaction_count=count, total_amount_pyg=Decimal(total),
+            transaction_count=count, total_amount_pyg=str(total),
         )
 
     def close(self) -> None:
         pass
 
 
-def panes(clocked: DataFrame, config: StreamConfig = DEFAULT) -> DataFrame:
+def panes(accepted: DataFrame, config: StreamConfig = DEFAULT) -> DataFrame:
     """Every result of every window, each with the total so far.
 
-    Columns ``merchant_id, window_start, window_end, timing, pane_index, transaction_count,
-    total_amount_pyg``. A window that only gets late payments has no ON_TIME pane. Late payments of
-    one window in one micro-batch are counted in the order they are delivered.
+    Takes the output of :func:`deduplicate_exactly`, or of :func:`with_event_clock`. Columns
+    ``merchant_id, window_start, window_end, timing, pane_index, transaction_count,
+    total_amount_pyg`` (digits). A window that only gets late payments has no ON_TIME pane. The
+    late payments of one window in one micro-batch, which ``--per-batch`` bounds, are counted by
+    partition and offset, however Spark delivers them.
+
+    What a deduplicated stream brings before the end of a window, however much, is added up in
+    each task before it is sent to the window's state.
     """
-    window_us = config.window_seconds * 1_000_000
+    window_us, lateness_us = config.window_seconds * 1_000_000, config.lateness_seconds * 1_000_000
     results = (
-        clocked.mapInPandas(
-            _amounts_per_window(window_us),
-            "merchant_id STRING, window_us BIGINT, amounts ARRAY<BIGINT>",
-        )
+        accepted.mapInPandas(_parts(window_us, lateness_us), _PART)
         .groupBy("merchant_id", "window_us")
-        .transformWithState(
-            _Panes(window_us, config.lateness_seconds * 1_000_000), PANE, "append", "EventTime"
-        )
+        .transformWithState(_Panes(window_us, lateness_us), PANE, "append", "EventTime")
     )
     return results.select(
         "merchant_id",
@@ -200,7 +240,12 @@ def panes(clocked: DataFrame, config: StreamConfig = DEFAULT) -> DataFrame:
     )
 
 
+def pane_payments(payments: DataFrame, config: StreamConfig = DEFAULT) -> DataFrame:
+    """Payments to the labelled rows of all panes, with ``timing, pane_index``: every version of a window."""
+    accepted = deduplicate_exactly(with_event_clock(payments), config)
+    return label_windows(panes(accepted, config), "timing", "pane_index")
+
+
 def pane_stream(records: DataFrame, config: StreamConfig = DEFAULT) -> DataFrame:
-    """Raw log to the labelled rows of all panes, with ``timing, pane_index``: every version of a window."""
-    clocked = with_event_clock(confirmed_payments(records))
-    return label_windows(panes(deduplicate_exactly(clocked, config), config), "timing", "pane_index")
+    """Raw log to the labelled rows of all panes."""
+    return pane_payments(confirmed_payments(records), config)

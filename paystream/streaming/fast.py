@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,24 +14,22 @@ from pyspark.sql.streaming import DataStreamWriter
 from paystream.config import DEFAULT, StreamConfig
 from paystream.operators.contract import check_events
 from paystream.operators.route import confirmed, dead_letters, invalid_events, valid_events
-from paystream.operators.windows import aggregate_windows, label_windows
+from paystream.operators.windows import aggregate_windows, label_windows, with_wide
+from paystream.schemas import payment_columns
 from paystream.sources.table import materialize
 
 # Send the code below to the executors with each task; they need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-PAYMENT_COLUMNS = ["event_id", "event_ts", "merchant_id", "amount", "partition", "offset"]
-CLOCKED = (
-    "event_id STRING, event_us BIGINT, merchant_id STRING, amount BIGINT, "
-    "partition INT, offset BIGINT"
-)
+PAYMENT_COLUMNS = payment_columns()
 
 
-def first_copies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def first_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of copies with equal id and time, the first in each Arrow batch."""
-    for rows in batches:
-        ordered = rows.sort_values(["partition", "offset"], kind="stable")
-        yield ordered.drop_duplicates(["event_id", "event_us"])
+    for batch in batches:
+        keys = batch.select(["event_id", "event_us", "partition", "offset"]).to_pandas()
+        ordered = keys.sort_values(["partition", "offset"], kind="stable")
+        yield batch.take(pa.array(ordered.drop_duplicates(["event_id", "event_us"]).index))
 
 
 def combine_copies(payments: DataFrame) -> DataFrame:
@@ -41,7 +39,7 @@ def combine_copies(payments: DataFrame) -> DataFrame:
     holds for all of them, and the result of any later deduplication is the same. Takes payments
     with ``event_us`` (microseconds) in place of ``event_ts``.
     """
-    return payments.mapInPandas(first_copies, CLOCKED)
+    return payments.mapInArrow(first_copies, payments.schema)
 
 
 def confirmed_payments(records: DataFrame) -> DataFrame:
@@ -62,27 +60,31 @@ def deduplicate_stream(payments: DataFrame, config: StreamConfig = DEFAULT) -> D
     the lateness after the window; with its own time it would be refused while that is open.
     """
     combined = combine_copies(
-        payments.select("event_id", F.unix_micros("event_ts").alias("event_us"),
-                        "merchant_id", "amount", "partition", "offset")
+        with_wide(payments).select("event_id", F.unix_micros("event_ts").alias("event_us"),
+                        "merchant_id", "amount", "amount_wide", "partition", "offset")
     )
     return (
         combined.withColumn("event_ts", F.timestamp_micros("event_us"))
         .withWatermark("event_ts", config.lateness)
         .withColumn("in_window", F.window("event_ts", config.window))
-        .select("event_id", "merchant_id", "amount", "partition", "offset",
+        .select("event_id", "merchant_id", "amount", "amount_wide", "partition", "offset",
                 F.window_time("in_window").alias("event_ts"))
         .dropDuplicatesWithinWatermark(["event_id"])
     )
 
 
-def aggregate_stream(records: DataFrame, config: StreamConfig = DEFAULT) -> DataFrame:
-    """Raw log to labelled window rows.
+def aggregate_payments(payments: DataFrame, config: StreamConfig = DEFAULT) -> DataFrame:
+    """Payments to labelled window rows.
 
     Written in append mode each window gives one final row; in update mode one row per
     micro-batch that changed it, each with the total so far.
     """
-    payments = deduplicate_stream(confirmed_payments(records), config)
-    return label_windows(aggregate_windows(payments, config))
+    return label_windows(aggregate_windows(deduplicate_stream(payments, config), config))
+
+
+def aggregate_stream(records: DataFrame, config: StreamConfig = DEFAULT) -> DataFrame:
+    """Raw log to labelled window rows."""
+    return aggregate_payments(confirmed_payments(records), config)
 
 
 def only_plausible(payments: DataFrame, log_time: str, max_ahead: str) -> DataFrame:
