@@ -5,7 +5,18 @@ Only lengths of dead letters and the event times need the written text.
 
 from __future__ import annotations
 
-from paystream.plans.payments import COPY_DELAY, COPY_EVERY, FAULTS, ORIGIN, TAMPER_EVERY, TAMPERED, ZONES
+from paystream.plans.payments import (
+    BIG,
+    BIG_ERRORS,
+    BIG_EVERY,
+    COPY_DELAY,
+    COPY_EVERY,
+    FAULTS,
+    ORIGIN,
+    TAMPER_EVERY,
+    TAMPERED,
+    ZONES,
+)
 
 _FAULT = "CASE " + " ".join(
     f"WHEN event_id % {divisor} = 0 THEN '{name}'" for divisor, name in FAULTS.items()
@@ -108,6 +119,25 @@ _TEXT_LENGTH = """(length('{"schema_version":1,"key":"","event_time":"",'
         WHEN 'bool_amount' THEN 4 ELSE length(amount::VARCHAR) END
     + CASE WHEN fault = 'two_errors' THEN length('REFUNDED') ELSE length(status) END)"""
 
+# The written event, and what a dead letter holds of it: an object with its keys in order, or text.
+_TEXT = """('{"schema_version":1' || CASE WHEN fault IS DISTINCT FROM 'missing_id' THEN ',"event_id":"' || event_id || '"' ELSE '' END
+    || ',"key":"' || CASE WHEN fault = 'key_mismatch' THEN 'merchant-999' ELSE merchant_id END
+    || '","event_time":"' || event_time || '","payload":{"transaction_id":"txn-' || i || '","merchant_id":"' || merchant_id
+    || '","account_id":"' || account_id || '","amount":' || written_amount
+    || ',"currency":"' || CASE WHEN fault IN ('wrong_currency', 'two_errors') THEN 'USD' ELSE 'PYG' END
+    || '","status":"' || CASE WHEN fault = 'two_errors' THEN 'REFUNDED' ELSE status END || '"}}')"""
+_SORTED = """('{' || CASE WHEN fault IS DISTINCT FROM 'missing_id' THEN '"event_id":"' || event_id || '",' ELSE '' END
+    || '"event_time":"' || event_time || '","key":"' || CASE WHEN fault = 'key_mismatch' THEN 'merchant-999' ELSE merchant_id END
+    || '","payload":{"account_id":"' || account_id || '","amount":' || written_amount
+    || ',"currency":"' || CASE WHEN fault IN ('wrong_currency', 'two_errors') THEN 'USD' ELSE 'PYG' END
+    || '","merchant_id":"' || merchant_id
+    || '","status":"' || CASE WHEN fault = 'two_errors' THEN 'REFUNDED' ELSE status END
+    || '","transaction_id":"txn-' || i || '"},"schema_version":1}')"""
+_WRITTEN = "CASE fault WHEN 'float_amount' THEN amount || '.5' WHEN 'bool_amount' THEN 'true' ELSE amount::VARCHAR END"
+_RAW = f"""CASE WHEN NOT undecoded THEN {_SORTED} ELSE '"' || replace(CASE fault WHEN 'null_value' THEN ''
+    WHEN 'no_object' THEN '[1, 2, 3]' WHEN 'bad_utf8' THEN {_TEXT} || chr(65533) WHEN 'trailing_text' THEN {_TEXT} || ' x'
+    ELSE left({_TEXT}, length({_TEXT}) - 1) END, '"', '\\"') || '"' END""".replace("written_amount", f"({_WRITTEN})")
+
 _LETTERS = f"""
 SELECT "offset" AS source_offset,
   CASE WHEN undecoded OR fault = 'missing_id' THEN '' ELSE event_id END AS letter_key,
@@ -166,6 +196,17 @@ def _tampered(part: int) -> str:
 
 _NO_AMOUNT = ", ".join(str(rest) for rest, case in TAMPERED.items() if case[2] is None)
 
+def _big(pattern: str) -> str:
+    """The amount written by a pattern of ``BIG``."""
+    before, mark, after = pattern.partition("#")
+    if not mark:
+        return f"'{pattern}'"
+    length = "".join(c for c in after[2:].partition(".")[0] if c.isdigit())
+    return f"'{before}' || lpad(i::VARCHAR, {length}, '{after[0]}') || '{after[2 + len(length):]}'"
+
+
+_BIG = f"(CASE i % {BIG_EVERY} " + " ".join(f"WHEN {k} THEN {_big(p)}" for k, p in BIG.items()) + " ELSE amount::VARCHAR END)"
+
 ORACLES: dict[str, str] = {
     "window_agg_60s": _with(_LOG, _windows()) + f" SELECT {_COLUMNS} FROM windows",
     "parse_outcome_counts": _with(_LOG) + """
@@ -212,6 +253,29 @@ ORACLES: dict[str, str] = {
         SELECT event_id, strftime(make_timestamp(t), {_CLOCK}) || 'Z' AS event_ts,
           head.o AS "offset"
         FROM chain JOIN points USING (event_id, t)""",
+    "big_amounts": _with(_BASE) + f""",
+        amounts AS (
+          SELECT merchant_id || '|' || {_START} AS aggregate_key, merchant_id, {_START} AS window_start,
+            {_END} AS window_end, lpad({_BIG}, 60, '0') AS digits FROM base
+          WHERE status = 'CONFIRMED' AND i % {BIG_EVERY} < 4 AND (i % {BIG_EVERY} > 0 OR amount > 0)),
+        sums AS (
+          SELECT aggregate_key, merchant_id, window_start, window_end, count(*) AS transaction_count,
+            sum(substr(digits, 1, 20)::HUGEINT) AS a, sum(substr(digits, 21, 20)::HUGEINT) AS b,
+            sum(substr(digits, 41, 20)::HUGEINT) AS c FROM amounts GROUP BY ALL),
+        carried AS (
+          SELECT *, 100000000000000000000::HUGEINT AS limb, b + c // limb AS over_b, a + over_b // limb AS over_a,
+            ltrim(over_a::HUGEINT::VARCHAR || lpad((over_b % limb)::HUGEINT::VARCHAR, 20, '0')
+              || lpad((c % limb)::HUGEINT::VARCHAR, 20, '0'), '0') AS total_amount_pyg
+          FROM sums)
+        SELECT aggregate_key, transaction_count, NULL::VARCHAR AS error, total_amount_pyg AS total_digits,
+          {_JSON} AS record_value FROM carried""",
+    "big_amount_errors": _with(_BASE) + f"""
+        SELECT i AS "offset", CASE i % {BIG_EVERY} {" ".join(f"WHEN {k} THEN '{e}'" for k, e in BIG_ERRORS.items())}
+            WHEN 0 THEN CASE WHEN amount > 0 THEN '' ELSE 'range:payload.amount' END ELSE '' END AS errors,
+          CASE WHEN i % {BIG_EVERY} < 5 THEN {_BIG} END AS digits,
+          CASE WHEN i % {BIG_EVERY} = 7 THEN {_BIG}
+            WHEN i % {BIG_EVERY} > 3 OR i % {BIG_EVERY} = 0 AND amount <= 0 THEN {_BIG} END AS letter_amount
+        FROM base""",
     "aggregate_json": _with(_LOG, _windows()) + f"""
         SELECT aggregate_key AS record_key, {_JSON} AS record_value FROM windows""",
     "aggregate_validation": _with(_LOG, _VERSIONS) + """
@@ -315,17 +379,29 @@ ORACLES: dict[str, str] = {
         SELECT {_COLUMNS}, versions FROM windows JOIN parts USING (aggregate_key)""",
     "late_dropped": _with(_LOG) + """
         SELECT count(*) AS dropped FROM confirmed WHERE copy = 0 AND i % 53 = 0""",
+    "job_outputs": _with(_LOG, _windows()) + f"""
+        SELECT 'payments.aggregates.v1' AS topic, aggregate_key AS record_key, {_JSON} AS record_value FROM windows
+        UNION ALL
+        SELECT 'payments.events.dlq.v1', CASE WHEN undecoded OR fault = 'missing_id' THEN '' ELSE event_id END,
+          '{{"errors":["' || array_to_string(errors, '","') || '"],"raw_data":' || {_RAW} || '}}'
+        FROM checked WHERE len(errors) > 0""",
     "panes_exact": _with(_LOG) + f""",
-        per_window AS (
-          SELECT merchant_id, {_START} AS window_start,
-            count(*) FILTER (i % 5 <> 0) AS punctual, count(*) FILTER (i % 5 = 0) AS late_panes,
-            sum(amount) FILTER (i % 5 <> 0)::BIGINT AS on_time_total,
-            sum(amount)::BIGINT AS final_total, count(*) AS final_count
-          FROM confirmed WHERE copy = 0 AND i % 7 <> 0 GROUP BY ALL)
-        SELECT merchant_id, window_start, least(punctual, 1) AS on_time_panes,
-          nullif(punctual, 0) AS on_time_count, on_time_total, late_panes,
-          late_panes - 1 + least(punctual, 1) AS last_index, final_count, final_total
-        FROM per_window""",
+        counted AS (
+          SELECT merchant_id || '|' || {_START} AS aggregate_key, {_END} AS window_end, i % 5 = 0 AS late,
+            "partition" AS p, "offset" AS o, amount FROM confirmed WHERE copy = 0 AND i % 7 <> 0),
+        punctual AS (
+          SELECT aggregate_key, window_end, count(*) AS n, sum(amount)::BIGINT AS total
+          FROM counted WHERE NOT late GROUP BY ALL),
+        in_order AS (
+          SELECT aggregate_key, window_end, row_number() OVER w AS r, sum(amount) OVER w AS total
+          FROM counted WHERE late WINDOW w AS (PARTITION BY aggregate_key, window_end ORDER BY p, o
+            ROWS UNBOUNDED PRECEDING))
+        SELECT aggregate_key, window_end, 'ON_TIME' AS timing, 0::BIGINT AS pane_index, n AS transaction_count,
+          total AS total_amount_pyg FROM punctual
+        UNION ALL
+        SELECT aggregate_key, window_end, 'LATE', r - CASE WHEN n IS NULL THEN 1 ELSE 0 END, r + coalesce(n, 0),
+          (l.total + coalesce(p.total, 0))::BIGINT
+        FROM in_order AS l LEFT JOIN punctual AS p USING (aggregate_key, window_end)""",
     "dedup_stream_exact": _with(_LOG) + """
         SELECT event_id, CASE WHEN i % 10 = 0 THEN 2 ELSE 1 END::BIGINT AS passed,
           2 * i AS first_offset,

@@ -6,6 +6,8 @@ and how, follows from the event id, so that expected results can be worked out w
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -141,26 +143,59 @@ TAMPERED = {
 }
 
 
+#: How the amount of an event is written, by its number modulo ``BIG_EVERY``: 64 bits and one
+#: more, 30 and 60 digits, a negative one, a leading zero, a fraction, text. ``#`` stands for the
+#: number, filled up with the digit after it to the length after that.
+BIG_EVERY = 8
+BIG = {
+    1: "9223372036854775808", 2: "1#7:29", 3: "9#8:59", 4: "-1#7:29", 5: "0#1:9", 6: "1#7:29.0", 7: '"1#7:29"',
+}
+BIG_ERRORS = {4: "range:payload.amount", 5: "syntax:value", 6: "type:payload.amount", 7: "type:payload.amount"}
+
+
+def big_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every payment as a sound record whose amount is written in one of the ways of ``BIG``."""
+    written = F.col("amount").cast("string")
+    for rest, pattern in BIG.items():
+        before, _, after = pattern.partition("#")
+        text = F.lit(pattern)
+        if after:
+            digit, length = after[0], int("".join(c for c in after[2:].partition(".")[0] if c.isdigit()))
+            text = F.concat(
+                F.lit(before), F.lpad(F.col("i").cast("string"), length, digit), F.lit(after[2 + len(str(length)):])
+            )
+        written = F.when(F.col("i") % BIG_EVERY == rest, text).otherwise(written)
+    payments = raw_payments(spark, sf_dir).withColumn("written", written)
+    return _records(payments, lambda text: F.replace(text, F.lit('"amount":0'), F.concat(F.lit('"amount":'), "written")), F.lit(0))
+
+
 def tampered_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every payment as a record that is sound but for one kind of tampering; none for a rest of 0."""
+    def tampered(plain: Column) -> Column:
+        text = plain
+        for rest, (changes, _, _) in TAMPERED.items():
+            other = plain
+            for pattern, new in changes:
+                other = F.regexp_replace(other, pattern, new)
+            text = F.when(F.col("i") % TAMPER_EVERY == rest, other).otherwise(text)
+        return text
+
+    return _records(raw_payments(spark, sf_dir), tampered, F.col("amount"))
+
+
+def _records(payments: DataFrame, change: Callable[[Column], Column], amount: Column) -> DataFrame:
+    """Payments as records, after a change to the JSON text."""
     clock = F.concat(F.date_format("event_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
     payload = F.struct(
-        F.concat(F.lit("txn-"), F.col("i")).alias("transaction_id"), "merchant_id", "account_id", "amount",
+        F.concat(F.lit("txn-"), F.col("i")).alias("transaction_id"), "merchant_id", "account_id", amount.alias("amount"),
         F.lit("PYG").alias("currency"), "status",
     )
     event = F.struct(
         F.lit(1).alias("schema_version"), "event_id", F.col("merchant_id").alias("key"),
         clock.alias("event_time"), payload.alias("payload"),
     )
-    plain = F.to_json(event)
-    text = plain
-    for rest, (changes, _, _) in TAMPERED.items():
-        other = plain
-        for pattern, new in changes:
-            other = F.regexp_replace(other, pattern, new)
-        text = F.when(F.col("i") % TAMPER_EVERY == rest, other).otherwise(text)
-    return raw_payments(spark, sf_dir).select(
-        F.col("merchant_id").cast("binary").alias("key"), text.cast("binary").alias("value"),
+    return payments.select(
+        F.col("merchant_id").cast("binary").alias("key"), change(F.to_json(event)).cast("binary").alias("value"),
         F.lit(EVENTS_TOPIC).alias("topic"), "partition", F.col("i").cast("long").alias("offset"),
         F.col("event_ts").alias("timestamp"),
     )

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paystream.config import AGGREGATES_TOPIC, DEAD_LETTER_TOPIC, DEFAULT, EVENTS_TOPIC
-from paystream.functions.iso_time import format_boundary
+from paystream.functions.digits import digits_of
+from paystream.jobs import run_stream
 from paystream.operators.accounting import consumer_lag, end_offsets, stage_counts
 from paystream.operators.aggregate_contract import check_aggregates
 from paystream.operators.contract import check_events
@@ -32,13 +33,14 @@ from paystream.operators.windows import (
 from paystream.plans.payments import (
     COPY_DELAY,
     COPY_EVERY,
+    big_log,
     load,
     payment_log,
     raw_payments,
     tampered_log,
 )
 from paystream.schemas import AGGREGATE_COLUMNS
-from paystream.session import work_dir
+from paystream.session import stream_session, work_dir
 from paystream.sources.records import bounded, keyed_records, log_writer, read_log, write_log
 from paystream.sources.table import (
     create_table,
@@ -148,6 +150,35 @@ def dedup_horizon(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def big_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts of up to 60 digits from the raw log through windows, JSON and the check of the table."""
+    payments = deduplicate(confirmed(valid_events(check_events(big_log(spark, sf_dir)))))
+    log = serialize_aggregates(
+        label_windows(aggregate_windows(payments)), F.lit(AGGREGATES_TOPIC).alias("topic"),
+        F.lit(0).alias("partition"), F.lit(0).cast("bigint").alias("offset"),
+        F.lit(None).cast("timestamp").alias("timestamp"),
+    )
+    return check_aggregates(log).select(
+        "aggregate_key", "transaction_count", "error",
+        F.expr(digits_of("total_amount_pyg", "total_amount_wide")).alias("total_digits"),
+        F.col("value").cast("string").alias("record_value"),
+    )
+
+
+def big_amount_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the contract says about every amount of that log, and the dead letters' own digits."""
+    checked = check_events(big_log(spark, sf_dir))
+    letters = dead_letters(invalid_events(checked)).select(
+        F.col("source_offset").alias("offset"),
+        F.regexp_extract(F.col("value").cast("string"), r'amount\\?":(.*?),', 1).alias("letter_amount"),
+    )
+    rows = checked.select(
+        "offset", F.array_join("errors", ",").alias("errors"),
+        F.expr(digits_of("amount", "amount_wide")).alias("digits"),
+    )
+    return rows.join(letters, "offset", "left")
+
+
 def aggregate_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serialize_aggregates(window_agg_60s(spark, sf_dir)).select(
         F.col("key").cast("string").alias("record_key"),
@@ -479,6 +510,34 @@ def dlq_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _letters(spark.read.parquet(replay.output))
 
 
+def job_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both logs the streaming job writes, whole, with the job stopped between its sinks.
+
+    First only the query that parses gets to run; then the job starts again on its checkpoint and
+    must write each window and each dead letter once.
+    """
+    base = work_dir(spark, "job")
+    session = stream_session(spark)
+    args = run_stream.parse_args(["--path", f"{base}/logs", "--checkpoint", f"{base}/checkpoint"])
+    logs = run_stream.Logs(session, args)
+    write_log(payment_log(spark, sf_dir), f"{base}/logs/{EVENTS_TOPIC}")
+    queries = run_stream.start_streams(logs, args)
+    queries[0].processAllAvailable()
+    for running in queries:
+        running.stop()
+    queries = run_stream.start_streams(logs, args)
+    for step in range(2):
+        for running in queries:
+            running.processAllAvailable()
+        if not step:
+            write_log(_tick_record(spark, sf_dir, 86_400).coalesce(1), f"{base}/logs/{EVENTS_TOPIC}")
+    for running in queries:
+        running.stop()
+    key, value = (F.col(c).cast("string").alias(f"record_{c}") for c in ("key", "value"))
+    windows, letters = (read_log(spark, f"{base}/logs/{t}") for t in (AGGREGATES_TOPIC, DEAD_LETTER_TOPIC))
+    return windows.union(letters).select("topic", key, value)
+
+
 def _payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _confirmed(spark, sf_dir).select(*PAYMENT_COLUMNS)
 
@@ -495,7 +554,7 @@ def _tick(spark: SparkSession, sf_dir: str, seconds: int) -> DataFrame:
 
 
 def panes_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """On-time and late panes of every window from the raw log; a lateness as long as the table.
+    """Every on-time and late pane from the raw log; a lateness as long as the table.
 
     Steps: most payments; a tick that closes all windows; payments that are late but accepted,
     with their copies; those copies and a tenth of the first payments once more, which must not
@@ -519,20 +578,9 @@ def panes_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
         ],
         lambda stream, out, checkpoint: log_writer(pane_stream(stream, config), out, checkpoint),
     )
-    on_time = F.col("timing") == "ON_TIME"
-    count, total = F.col("transaction_count"), F.col("total_amount_pyg").cast("bigint")
-    return (
-        spark.read.parquet(replay.output).filter(F.col("merchant_id") != TICK)
-        .groupBy("merchant_id", "window_start")
-        .agg(
-            F.count_if(on_time).alias("on_time_panes"),
-            F.max(F.when(on_time, count)).alias("on_time_count"),
-            F.max(F.when(on_time, total)).alias("on_time_total"),
-            F.count_if(~on_time).alias("late_panes"),
-            F.max("pane_index").alias("last_index"),
-            F.max(count).alias("final_count"),
-            F.max_by(total, "pane_index").alias("final_total"),
-        )
+    return spark.read.parquet(replay.output).filter(F.col("merchant_id") != TICK).select(
+        "aggregate_key", "window_end", "timing", "pane_index", "transaction_count",
+        F.col("total_amount_pyg").cast("bigint").alias("total_amount_pyg"),
     )
 
 
@@ -573,6 +621,8 @@ QUERIES: dict[str, Query] = {
     "routed_topics": routed_topics,
     "dedup_global": dedup_global,
     "dedup_horizon": dedup_horizon,
+    "big_amounts": big_amounts,
+    "big_amount_errors": big_amount_errors,
     "aggregate_json": aggregate_json,
     "aggregate_validation": aggregate_validation,
     "latest_per_key": latest_versions,
@@ -594,6 +644,7 @@ QUERIES: dict[str, Query] = {
     "window_agg_stream_final": window_agg_stream_final,
     "window_agg_stream_update": window_agg_stream_update,
     "late_dropped": late_dropped,
+    "job_outputs": job_outputs,
     "panes_exact": panes_exact,
     "dedup_stream_exact": dedup_stream_exact,
 }

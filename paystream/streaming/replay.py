@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from paystream.session import stream_session, work_dir
 
@@ -15,14 +15,16 @@ from paystream.session import stream_session, work_dir
 class Replay:
     """Feeds a query step by step, as a stream in production would be fed.
 
-    Each step is written into the folder the query reads, with all its files, and the query then
-    runs until nothing is left to do. So each step is one micro-batch, and the watermark moves on
-    between steps. The query restarts from its checkpoint for every step.
+    Each step becomes a folder below the one the query reads, all its files at once by a rename,
+    and the next one waits until nothing is left to do. So each step is one micro-batch, and the
+    watermark moves on between steps. With ``restarts`` the query is stopped after every step
+    and goes on from its checkpoint.
     """
 
     spark: SparkSession
     name: str
     partitions: int | None = None
+    restarts: bool = False
     progress: list[list[dict]] = field(default_factory=list)
 
     def __post_init__(self) -> None:
@@ -33,22 +35,39 @@ class Replay:
     def output(self) -> str:
         return f"{self.base}/output"
 
+    def _arrive(self, rows: DataFrame, number: int) -> None:
+        staged = f"{self.base}/staged-{number}"
+        rows.write.parquet(staged)
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        source, target = hadoop.Path(staged), hadoop.Path(f"{self.base}/input/step-{number}")
+        files = target.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        files.mkdirs(target.getParent())
+        if not files.rename(source, target):
+            raise OSError(f"{target} could not be put in place")
+
     def run(
         self,
         steps: Iterable[DataFrame],
         start: Callable[[DataFrame, str, str], DataStreamWriter],
     ) -> None:
-        """``start(stream, output path, checkpoint path)`` gives the writer to run per step."""
-        source = f"{self.base}/input"
-        for rows in steps:
-            rows.write.mode("append").parquet(source)
-            stream = self.session.readStream.schema(rows.schema).parquet(source)
-            query = (
-                start(stream, self.output, f"{self.base}/checkpoint")
-                .trigger(availableNow=True).start()
-            )
-            query.awaitTermination()
-            self.progress.append(list(query.recentProgress))
+        """``start(stream, output path, checkpoint path)`` gives the writer to run."""
+        query: StreamingQuery | None = None
+        seen = -1
+        try:
+            for number, rows in enumerate(steps):
+                self._arrive(rows, number)
+                if query is None:
+                    stream = self.session.readStream.schema(rows.schema).parquet(f"{self.base}/input/*")
+                    query = start(stream, self.output, f"{self.base}/checkpoint").start()
+                query.processAllAvailable()
+                self.progress.append([p for p in query.recentProgress if p["batchId"] > seen])
+                seen = max([seen, *(p["batchId"] for p in self.progress[-1])])
+                if self.restarts:
+                    query.stop()
+                    query = None
+        finally:
+            if query is not None:
+                query.stop()
 
     def dropped_by_watermark(self, step: int) -> int:
         """Rows the stateful operators refused as too late in one step."""
