@@ -54,6 +54,25 @@ def shipped(f: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     return run
 
 
+class Remembered(dict):
+    """Values of a function of texts: the shorter ones among the last ``most`` to ``2 * most`` asked for."""
+
+    def __init__(self, f: Callable, most: int, longest: int = 64) -> None:
+        self.f, self.most, self.longest = f, most, longest
+        self.older: dict = {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.f(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.most:
+                self.older = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

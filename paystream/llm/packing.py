@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import heapq
+import json
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,28 +16,28 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paystream.llm.common import parts, texts_of
+from paystream.llm.common import BLANKS, Remembered, parts, texts_of
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
     "offset long, sequence_length long, sequence_cost double"
 )
-_CACHED_WORDS = 600_000
-#: More than these aren't kept after a task: other work of the same worker needs the memory.
-_KEPT_WORDS = 250_000
-_GROUP_WORDS = 200_000
-_ENDS = b".,!?;:%&$*#"
-_ENDED = re.compile(rb"[a-z][.,!?;:%&$*#]+$")
+_MOST_WORDS = 200_000
+#: Small Latin letters beyond ASCII: each is its own small form, and composed.
+_LATIN = "ßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
+_PLAIN = re.compile(rf"[\x21-\x7E{_LATIN}]+")
+_SAFE = re.compile(r"[\x00-\xFF]*")
 _ENCODERS: dict[str, "_Encoder"] = {}
 
 
 class _Encoder:
-    """Ids of a text as little-endian 32-bit bytes, by way of a bounded cache of words.
+    """Ids of a text as little-endian 32-bit bytes, by way of a bounded memory of pieces.
 
     The tokenizer drops blanks and never merges across them, so the ids of a text are those of
-    its words, one after the other. Words that are new are encoded many at a time, parted by a
-    special token. Where the tokenizer parts letters from the signs after them and ignores case
-    (tried out once), a word is put together from its letters and its signs.
+    its words, one after the other, and those of a word are the ids of the pieces that the
+    tokenizer's own normalizer and pre-tokenizer make of it. Words of printable ASCII and Latin
+    letters are taken apart by its pattern in their stead, all words of a text in one go, if that
+    gives the same for samples of all kinds. Any other word is a piece in this sense.
     """
 
     def __init__(self, path: str) -> None:
@@ -43,67 +45,56 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[bytes, bytes] = {}
-        self.cores: dict[bytes, bytes] = {}
-        added = self.tokenizer.get_added_tokens_decoder()
-        self.mark, self.separator = next(((k, t.content) for k, t in sorted(added.items()) if t.special), (None, ""))
-        self.parts = self._plain("Abc,.") == self._plain("abc") + self._plain(",.")
+        self.normalize = self.tokenizer.normalizer.normalize_str if self.tokenizer.normalizer else str
+        self.split = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.tokenize = self.tokenizer.model.tokenize
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        #: Latin letters as the pre-tokenizer writes them, byte by byte.
+        self.written = {ord(c): "".join(p for p, _ in self.split(c)) for c in _LATIN}
+        self.find = self._pattern(path)
+        self.piece = Remembered(self._piece, _MOST_WORDS)
+
+    def _pattern(self, path: str):
+        """What finds the pieces of a text in lower case; None if nothing does."""
+        with open(path, encoding="utf-8") as file:
+            steps = json.load(file)["pre_tokenizer"].get("pretokenizers", [])
+        if not steps or steps[0]["type"] != "Split" or "Regex" not in steps[0]["pattern"]:
+            return None
+        letters = f"a-z{_LATIN}"
+        own = steps[0]["pattern"]["Regex"].replace(r"[\p{L}]", r"\p{L}").replace(r"\p{L}+", f"[{letters}]+")
+        own = own.replace(r"\p{L}", letters).replace(r"[\p{N}]", "[0-9]").replace(r"\p{N}", "0-9")
+        signs = [chr(c) for c in range(0x21, 0x7F)] + list(_LATIN)
+        samples = [a + b for a in signs for b in signs[::7]] + ["it's", "I'LL'd", "'RE12ab", "aB..c3", "--x--'t", "Éa1ç,É"]
+        try:
+            pieces = re.compile(own).findall
+        except re.error:
+            return None
+        for x in samples:
+            if [p.translate(self.written) for p in pieces(x.lower())] != [p for p, _ in self.split(self.normalize(x))]:
+                return None
+        plain, other = rf"\x21-\x7E{letters}", rf"^\x21-\x7E{letters}{BLANKS}"
+        word = rf"(?<![^{BLANKS}])[{plain}]*+[{other}][^{BLANKS}]*"
+        return re.compile(f"{word}|{own}").findall
+
+    def _ids(self, piece: str) -> bytes:
+        return array("I", [t.id for t in self.tokenize(piece)]).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        if _PLAIN.fullmatch(piece):
+            return self._ids(piece.translate(self.written))
+        return b"".join([self._ids(p) for p, _ in self.split(self.normalize(piece))])
 
     def _plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _many(self, words: list[bytes]) -> list[bytes]:
-        texts = [w.decode() for w in words]
-        joined = self.separator.join(texts)
-        if self.mark is None or joined.count(self.separator) != len(texts) - 1 or "<|" in "".join(texts):
-            return [self._plain(x) for x in texts]
-        ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
-        ends, data, start, out = np.flatnonzero(ids == self.mark).tolist(), ids.tobytes(), 0, []
-        for end in [*ends, len(ids)]:
-            out.append(data[4 * start:4 * end])
-            start = end + 1
-        return out
-
-    def _learn(self, words: set[bytes]) -> None:
-        """Put ``words`` into the cache."""
-        split: dict[bytes, tuple[bytes, bytes]] = {}
-        for word in words:
-            core, ends = word, b""
-            if self.parts and word.isascii():
-                core = word.lower()
-                if _ENDED.search(core):
-                    bare = core.rstrip(_ENDS)
-                    core, ends = bare, core[len(bare):]
-            split[word] = core, ends
-        new = list({x for pair in split.values() for x in pair if x}.difference(self.cores))
-        for i in range(0, len(new), 2048):
-            part = new[i:i + 2048]
-            self.cores.update(zip(part, self._many(part)))
-        for word, (core, ends) in split.items():
-            self.words[word] = self.cores[core] + self.cores[ends] if ends else self.cores[core]
-
-    def rest(self) -> None:
-        """Let go of a large cache."""
-        if len(self.words) > _KEPT_WORDS:
-            self.words.clear()
-            self.cores.clear()
-
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        held: list[list[bytes]] = []
-        size = 0
-        for k, text in enumerate(texts):
-            held.append(text.encode().split())
-            size += len(held[-1])
-            if size >= _GROUP_WORDS or k == len(texts) - 1:
-                missing = set().union(*held).difference(self.words)
-                if len(self.words) + len(missing) > _CACHED_WORDS:
-                    self.words.clear()
-                    self.cores.clear()
-                    missing = set().union(*held)
-                self._learn(missing)
-                for words in held:
-                    yield b"".join(map(self.words.__getitem__, words))
-                held, size = [], 0
+        for text in texts:
+            if self.find is None or any(x in text for x in self.added):
+                yield b"".join([self._plain(x.decode()) for x in text.encode().split()])
+            else:
+                # Only where no letter's small form depends on others is a whole text changed at once.
+                lower = text.lower() if _SAFE.fullmatch(text) else text.encode().lower().decode()
+                yield b"".join(map(self.piece.__getitem__, self.find(lower)))
 
 
 def _encoder(path: str) -> _Encoder:
@@ -200,7 +191,6 @@ def pack(
                     yield _pack(held, sequence, capacity, linear, quadratic)
                     sequence += len(sequence_lengths(tokens, capacity))
                     held, tokens = [], 0
-        encoder.rest()
         if held:
             yield _pack(held, sequence, capacity, linear, quadratic)
 

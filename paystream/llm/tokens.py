@@ -12,11 +12,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paystream.llm.common import parts
+from paystream.llm.common import Remembered, parts
 
 COUNTS = "doc_id long, n_bytes long, n_tokens long"
-#: Words and pre-tokens a worker remembers, and the longest that it remembers, in bytes.
-_MOST, _LONGEST = 300_000, 64
+#: Words, and pre-tokens, that a worker remembers.
+_MOST = 150_000
 _BLANKS = " \t\n\v\f\r"
 _COUNTERS: dict[str, "Counter"] = {}
 
@@ -54,21 +54,6 @@ def merged(symbols: list[str], ranks: dict[tuple[str, str], int]) -> int:
     return n - merges
 
 
-class _Remembered(dict):
-    """Values of a function, of short keys, for as long as there is room."""
-
-    def __init__(self, f) -> None:
-        self.f = f
-
-    def __missing__(self, key):
-        value = self.f(key)
-        if len(key) <= _LONGEST:
-            if len(self) >= _MOST:
-                self.clear()
-            self[key] = value
-        return value
-
-
 class Counter:
     """Counts the tokens of texts by the merges, normalizer and pre-tokenizer of a tokenizer's file.
 
@@ -98,8 +83,8 @@ class Counter:
         self._pieces = tokenizer.pre_tokenizer.pre_tokenize_str
         longest_first = sorted((t["content"] for t in added), key=lambda x: (-len(x), x))
         self.added = re.compile("|".join(map(re.escape, longest_first))) if added else None
-        self.of_piece = _Remembered(self._piece)
-        self.of_word = _Remembered(self._word)
+        self.of_piece = Remembered(self._piece, _MOST)
+        self.of_word = Remembered(self._word, _MOST)
         self.blanks_part = self._blanks_part()
 
     def _blanks_part(self) -> bool:
