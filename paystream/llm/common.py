@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import tempfile
 import zipfile
@@ -112,6 +113,15 @@ def texts_of(batch, name: str = "text") -> list[str]:
     return [x or "" for x in batch.column(name).to_pylist()]
 
 
+def _give_back() -> None:
+    """Return free memory to the system; a worker lives on, and others need it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # no glibc
+        pass
+
+
 def parts(batches: Iterator[pa.RecordBatch], name: str = "text", most_bytes: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """The batches cut into slices of at most about ``most_bytes`` of text, or one long text.
 
@@ -124,6 +134,7 @@ def parts(batches: Iterator[pa.RecordBatch], name: str = "text", most_bytes: int
         edges = np.flatnonzero(np.diff(ends, prepend=-1, append=-1) != 0) if len(ends) else [0]
         for a, b in zip(edges, edges[1:]):
             yield batch.slice(a, b - a)
+    _give_back()
 
 
 def text_groups(
