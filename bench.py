@@ -58,8 +58,6 @@ def main() -> None:
     spark = (
         builder("paystream-bench").master(f"local[{cpus}]")
         .config("spark.sql.shuffle.partitions", cpus)
-        .config("spark.sql.files.minPartitionNum", cpus)
-        .config("spark.sql.files.maxPartitionBytes", "1m")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="paystream-bench-"))
