@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 
 from paystream.llm import decontaminate, minhash, substring, toxicity
+from paystream.llm.hashing import word_hashes
 
 ODD = [(900, None), (901, ""), (902, " \n"), (903, "one"), (904, "ONE"), (903, "one"), (None, "one"), (905, "w " * 3000)]
 
@@ -269,6 +270,47 @@ def test_passages_of_long_items(docs, spark):
     assert {r.doc_id: r.end - r.start for r in found} == {0: 29, 1: 200, 2: 39, 3: 25}
 
 
+def edited(words, every, kind):
+    """``words`` with each ``every``-th one replaced or deleted, or one inserted after it."""
+    out = []
+    for k, w in enumerate(words):
+        hit = k % every == every - 1
+        out += [w, "new"] if kind == "insert" and hit else ["new"] if kind == "replace" and hit else [] if hit else [w]
+    return out
+
+
+def test_all_copies_of_all_items(docs, spark):
+    """What is found is what aligning every text with every item gives, whatever was edited and however often."""
+    random.seed(23)
+    common = [f"c{k}" for k in range(40)]
+    draw = lambda n: [random.choice(common) if random.random() < 0.5 else f"r{random.randrange(4000)}" for _ in range(n)]
+    items = {k: draw(n) for k, n in enumerate([3, 4, 5, 7, 12, 16, 20, 33, 40, 59, 60, 100])}
+    items[12], items[13] = random.choices(common, k=30), ["c1", "c2"] * 10
+    rows = []
+    for i, words in items.items():
+        for kind in ("insert", "replace", "delete"):
+            for every in (1, 2, 3, 4, 5, 101):
+                copy = edited(words, every, kind)
+                rows += [(len(rows), " ".join([*draw(random.choice([0, 30])), *copy, *draw(random.choice([0, 80]))]))]
+                if every == 3:  # the same copy in many texts
+                    rows += [(len(rows) + k, " ".join(draw(20) + copy)) for k in range(12)]
+    rows += [(len(rows) + k, " ".join(random.choices(common, k=random.choice([1, 30, 300])))) for k in range(30)]
+    hashed = {k: word_hashes([decontaminate.plain(" ".join(w))])[0] for k, w in items.items()}
+    want = {}
+    for d, text in rows:
+        passage = word_hashes([decontaminate.plain(text)])[0]
+        for i, known in hashed.items():
+            score = decontaminate.align(known, passage)[0]
+            if score >= max(min(len(known), 2 * decontaminate.PASSAGE), 2 * min(len(known), decontaminate.FEWEST)):
+                want[d, i] = score / (2 * len(known))
+    assert {i for _, i in want} == set(items)
+    benchmark = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r.similarity for r in decontaminate.find(docs(rows), benchmark).collect()}
+    assert found == want
+    clean = decontaminate.remove(docs(rows), benchmark)
+    assert {r.doc_id for r in clean.collect()} == {d for d, _ in rows} - {d for d, _ in found}
+
+
 def test_matches_in_turns(monkeypatch):
     """Texts with more hits than are held at once give the same."""
     random.seed(15)
