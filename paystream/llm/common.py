@@ -28,9 +28,18 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PACKAGE: list[tempfile.TemporaryDirectory] = []
 
 
+#: Bytes of an Arrow batch between Spark and Python; by default 10,000 rows go at once, however long.
+_BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+
+
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package, as ``spark-submit --py-files`` would; once per session."""
+    """Give the executors this package, as ``spark-submit --py-files`` would; once per session.
+
+    Also bounds the Arrow batches of the session in bytes, unless it has a bound already.
+    """
     context = spark.sparkContext
+    if _BATCH[0] not in spark.conf.getAll:
+        spark.conf.set(*_BATCH)
     if getattr(context, "_paystream_shipped", False):
         return
     if not _PACKAGE:

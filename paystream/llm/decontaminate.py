@@ -203,6 +203,7 @@ def frequencies(docs: DataFrame, block: Block) -> np.ndarray:
     out = np.zeros(len(block.grams), "i8")
     for r in bare(docs).mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toLocalIterator():
         out[r["gram"]] = r["n"]
+    shared.destroy()
     # Equal n-grams stand together; the first of them was counted.
     return out[np.searchsorted(block.grams, block.grams, "left")]
 

@@ -193,6 +193,7 @@ def train(
     shared_names = docs.sparkSession.sparkContext.broadcast(names)
     counted = clean.mapInArrow(lambda b: _count_terms(b, shared_names.value), "word string, n long")
     in_clean = {r["word"]: r["n"] for r in counted.groupBy("word").agg(F.sum("n").alias("n")).collect()}
+    shared_names.destroy()
     n_clean = in_clean.pop("", 0)
 
     a = np.array([r["n"] for r in often], "f8")
@@ -225,6 +226,7 @@ def _calibrate(rows: DataFrame, raw: Model, bins: int = 400) -> Model:
 
     clean = rows.where("toxic = 0").select("text").mapInArrow(chance, "found long, n long")
     found, n = clean.agg(F.coalesce(F.sum("found"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    shared.destroy()
     least = min(s for s in raw.scores.values() if s > 0)
     rate = (found + 0.5) / (max(n, 1) * math.exp(-raw.decay * least))
     fitted = Model(raw.scores, raw.drift, raw.decay, rate, 1.0, 0.0, 0.0)
@@ -243,6 +245,7 @@ def _calibrate(rows: DataFrame, raw: Model, bins: int = 400) -> Model:
     seen = np.zeros((bins + 1, 2))
     for r in told.groupBy("bin", "toxic").agg(F.sum("n").alias("n")).collect():
         seen[r["bin"], r["toxic"]] += r["n"]
+    shared_fit.destroy()
     floor = (seen[0, 1] + 1) / (seen[0].sum() + 2)
     x = (np.arange(bins) + 0.5) / (bins - 1) * _MOST
     slope, offset = _curve(x, seen[1:, 0], seen[1:, 1])
