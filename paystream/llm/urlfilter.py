@@ -3,23 +3,22 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paystream.llm.common import lower_ascii
+from paystream.session import work_dir
 
 RULE_SCHEMA = "host string, path string, verdict string, own boolean"
 _MAPPED: dict[str, "_Block"] = {}
-#: The driver's files, which executors may fetch for as long as the session lives.
-_FOLDERS: list[tempfile.TemporaryDirectory] = []
 
 
 def host_of(url: Column) -> Column:
@@ -60,17 +59,26 @@ class _Block:
 
 
 def _block(name: str) -> _Block:
+    """The arrays of a fetched file, which the first worker of an executor writes beside it."""
     if name not in _MAPPED:
-        _MAPPED[name] = _Block(SparkFiles.get(name))
+        fetched = SparkFiles.get(name)
+        mapped = f"{fetched}.idx"
+        if not os.path.exists(mapped):
+            rows = pq.read_table(fetched, columns=["digest", "key", "flags"], partitioning=None)
+            keys = rows["key"].cast(pa.binary()).to_pylist()
+            # In place at once, as other workers may be doing the same.
+            os.replace(_write(list(zip(rows["digest"].to_pylist(), keys, rows["flags"].to_pylist())), os.path.dirname(fetched)), mapped)
+        _MAPPED[name] = _Block(mapped)
     return _MAPPED[name]
 
 
 @dataclass(frozen=True)
 class UrlIndex:
-    """Names of the files each executor fetches once, and the lengths of the rules' paths."""
+    """Names of the files each executor fetches once, lengths of the rules' paths, labels of their hosts."""
 
     files: tuple[str, ...]
     path_lengths: tuple[int, ...]
+    labels: tuple[int, ...]
 
 
 def _write(rows: list[tuple[int, bytes, int]], folder: str) -> str:
@@ -84,14 +92,15 @@ def _write(rows: list[tuple[int, bytes, int]], folder: str) -> str:
     return path
 
 
-def build_index(rules: DataFrame, block_keys: int = 4_000_000) -> UrlIndex:
+def build_index(rules: DataFrame, block_keys: int = 500_000) -> UrlIndex:
     """Write the sorted digest array of ``rules`` (host, path, verdict, own) and hand it out.
 
-    Spark sorts the rules by digest; they pass through the driver one partition at a time and
-    leave it as files of at most ``block_keys`` keys, so its memory is bounded whatever their
-    number. Executors map the files into memory and share the pages. ``own`` rules are those
-    that give a row its rule; the others only decide where no own rule fits. Rules with a null
-    or empty host are left out; of equal rules with both verdicts, ``block`` counts.
+    Tasks sort the rules by digest range and write them below the shared work folder, at most
+    ``block_keys`` to a file; executors fetch the files and map the arrays made of them, so no
+    rule passes through the driver, which sees names of files, lengths of paths and numbers of
+    labels. ``own`` rules are those that give a row its rule; the others only decide where no own
+    rule fits. Rules with a null or empty host are left out; of equal rules with both verdicts,
+    ``block`` counts.
     """
     spark = rules.sparkSession
     keyed = (
@@ -100,41 +109,36 @@ def build_index(rules: DataFrame, block_keys: int = 4_000_000) -> UrlIndex:
         .groupBy("host", "path", "own")
         .agg(F.max(F.when(F.col("verdict") == "block", 1).otherwise(0)).alias("blocks"))
         .select(
-            F.concat("host", "path").alias("key"), F.length("path").alias("path_length"),
+            F.concat("host", "path").alias("key"), F.length("path").alias("path_length"), _labels(F.col("host")).alias("labels"),
             (F.col("blocks") + F.when(F.col("own"), 2).otherwise(0)).alias("flags"),
         )
-        .select(F.xxhash64("key").alias("digest"), "key", "path_length", "flags")
-    )
-    files, held, lengths = [], [], set()
-
-    def flush() -> None:
-        if not _FOLDERS:
-            _FOLDERS.append(tempfile.TemporaryDirectory(prefix="urls-"))
-        path = _write(held, _FOLDERS[0].name)
-        spark.sparkContext.addFile(path)
-        files.append(os.path.basename(path))
-        held.clear()
-
-    for r in keyed.orderBy("digest", "key", "flags").toLocalIterator():
-        held.append((r["digest"], r["key"].encode(), r["flags"]))
-        lengths.add(r["path_length"])
-        if len(held) >= block_keys:
-            flush()
-    if held:
-        flush()
-    return UrlIndex(tuple(files), tuple(sorted(lengths)))
-
-
-def _candidates(host: Column, path: Column, lengths: Sequence[int]) -> Column:
-    """Every domain the host lies in, joined with every start of the path that a rule may have."""
-    starts = F.filter(
-        F.transform(F.array(*[F.lit(n) for n in lengths]), lambda n: F.when(n <= F.length(path), F.substring(path, F.lit(1), n))),
-        lambda x: x.isNotNull(),
-    )
-    labels = F.split(host, r"\.")
-    domains = F.transform(
-        F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), ".")
+        .select(F.xxhash64("key").alias("digest"), "key", "flags", "path_length", "labels")
     )
+    path = work_dir(spark, "urls")
+    order = ["digest", "key", "flags"]
+    keyed.repartitionByRange("digest").sortWithinPartitions(*order).write.option("maxRecordsPerFile", block_keys).parquet(path)
+    stored = spark.read.schema(keyed.schema).parquet(path)
+    files = sorted(r[0] for r in stored.select("_metadata.file_path").distinct().collect())
+    for file in files:
+        spark.sparkContext.addFile(file)
+    seen = stored.agg(F.collect_set("path_length"), F.collect_set("labels")).first()
+    return UrlIndex(tuple(f.rsplit("/", 1)[1] for f in files), tuple(sorted(seen[0])), tuple(sorted(seen[1])))
+
+
+def _labels(host: Column) -> Column:
+    """The number of labels of a host, dots and one."""
+    return F.length(host) - F.length(F.replace(host, F.lit("."), F.lit(""))) + 1
+
+
+def _candidates(host: Column, path: Column, index: UrlIndex) -> Column:
+    """The domains the host lies in, joined with the starts of the path, as many as a rule may have.
+
+    Domains are taken from the right, so a host costs its length once for each number of labels
+    that any rule has, however many labels it has itself.
+    """
+    labels = _labels(host)
+    domains = F.array_compact(F.array(*[F.when(labels >= n, F.substring_index(host, ".", -n)) for n in index.labels or (1,)]))
+    starts = F.array_compact(F.array(*[F.when(F.length(path) >= n, F.substring(path, 1, n)) for n in index.path_lengths or (0,)]))
     each = F.flatten(F.transform(domains, lambda d: F.transform(starts, lambda s: F.concat(d, s))))
     return F.when(host != "", each).otherwise(F.array().cast("array<string>"))
 
@@ -148,8 +152,7 @@ def judge(urls: DataFrame, index: UrlIndex, id_col: str = "page_id", default: st
     Repeated rows are judged each; other columns are ignored; without rules all get ``default``.
     """
     base = urls.select(F.col(id_col).cast("long").alias("page_id"), host_of(F.col("url").cast("string")).alias("host"), path_of(F.col("url").cast("string")).alias("path"))
-    lengths = index.path_lengths or (0,)
-    keyed = base.withColumn("keys", _candidates(F.col("host"), F.col("path"), lengths)).withColumn(
+    keyed = base.withColumn("keys", _candidates(F.col("host"), F.col("path"), index)).withColumn(
         "digests", F.transform("keys", lambda k: F.xxhash64(k))
     )
     files = index.files

@@ -59,6 +59,18 @@ def test_listed_domains_yield_to_rules(spark):
     ]
 
 
+def test_hosts_of_many_labels(spark):
+    """A host of very many labels, and rules with more labels than most hosts."""
+    deep = "a." * 40_000 + "www.example.com"
+    rules = [*URL_RULES, ("x.y.z.www.example.com", "/en/", "block")]
+    index = urlfilter.build_index(spark.createDataFrame([(*r, True) for r in rules], urlfilter.RULE_SCHEMA))
+    assert index.labels == (1, 2, 3, 6)
+    urls = [f"http://{h}/en/1" for h in (deep, "x.y.z.www.example.com", "y.z.www.example.com", "." * 50_000 + "net", "w.x.y.z.www.example.com")]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    found = sorted(urlfilter.judge(pages, index).collect())
+    assert [(r.page_id, r.host, r.path, r.rule, r.verdict) for r in found] == [(k, *judged(u, rules)) for k, u in enumerate(urls)]
+
+
 def test_equal_digests_are_told_apart(tmp_path):
     rows = [(-5, b"x", 1), (7, b"one", 0), (7, b"two", 3), (7, b"three", 2)]
     block = urlfilter._Block(urlfilter._write(rows, str(tmp_path)))
