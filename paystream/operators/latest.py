@@ -8,6 +8,7 @@ from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from paystream.operators.dedup import first_per
 
@@ -46,6 +47,23 @@ def totals(rows: DataFrame) -> DataFrame:
     )
 
 
+def column_audit(rows: DataFrame) -> DataFrame:
+    """One row per column: its type, whether that is whole numbers, rows, nulls, least and greatest.
+
+    One aggregation for all columns. Least and greatest are by the column's own order, as text.
+    """
+    counted = rows.agg(F.array(*(
+        F.struct(
+            F.lit(field.name).alias("column_name"), F.lit(field.dataType.simpleString()).alias("data_type"),
+            F.lit(isinstance(field.dataType, IntegralType)).alias("whole"),
+            F.count(F.lit(1)).alias("rows"), F.count_if(F.col(field.name).isNull()).alias("nulls"),
+            F.min(field.name).cast("string").alias("least"), F.max(field.name).cast("string").alias("greatest"),
+        )
+        for field in rows.schema
+    )).alias("columns"))
+    return counted.select(F.inline("columns"))
+
+
 def column_types(rows: DataFrame) -> dict[str, str]:
     """Type of each column, to assert that money and counts are integers."""
     return {field.name: field.dataType.simpleString() for field in rows.schema}

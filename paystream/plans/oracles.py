@@ -332,6 +332,40 @@ ORACLES: dict[str, str] = {
         FROM log l LEFT JOIN (
           SELECT "partition", max("offset") + 1 AS done FROM confirmed GROUP BY "partition") c
           ON l."partition" = c."partition" GROUP BY ALL""",
+    "stream_lag": _with(_LOG) + """,
+        stop AS (SELECT max("offset") // 3 * 2 AS stopped FROM log),
+        ends AS (
+          SELECT "partition", max("offset") + 1 AS end_offset,
+            coalesce(max("offset") FILTER ("offset" < stopped) + 1, 0) AS committed_offset FROM log, stop GROUP BY ALL)
+        SELECT 'payments.events.v1' AS topic, *, end_offset - committed_offset AS lag FROM ends""",
+    "log_integrity": _with(_LOG) + """,
+        copied AS (
+          SELECT *, event_ts - CASE WHEN "offset" % 37 = 0 THEN INTERVAL 1 HOUR ELSE INTERVAL 0 HOUR END AS moment,
+            unnest(CASE WHEN "offset" % 31 = 0 THEN [1, 2] ELSE [1] END) AS k FROM log),
+        offsets AS (SELECT "partition", "offset", count(*) AS n, min(moment) AS moment FROM copied GROUP BY ALL),
+        steps AS (
+          SELECT *, "offset" - lag("offset") OVER w - 1 AS skipped, moment < lag(moment) OVER w AS back
+          FROM offsets WINDOW w AS (PARTITION BY "partition" ORDER BY "offset"))
+        SELECT 'payments.events.v1' AS topic, "partition", sum(n)::BIGINT AS records, min("offset") AS first_offset,
+          max("offset") + 1 AS end_offset, sum(n - 1)::BIGINT AS repeats, count(*) FILTER (skipped > 0) AS gaps,
+          coalesce(sum(skipped), 0)::BIGINT AS missing, count(*) FILTER (back) AS inversions
+        FROM steps GROUP BY ALL""",
+    "strayed_keys": _with(_LOG) + """
+        SELECT 'payments.events.v1' AS topic, merchant_id || '/' || "offset" % 1000 AS record_key,
+          count(DISTINCT ("partition" + CASE WHEN "offset" % 3000 = 7 OR "offset" % 5000 = 1008 THEN 1 ELSE 0 END) % 3)
+            AS partitions, count(*) AS records
+        FROM log GROUP BY ALL HAVING partitions > 1""",
+    "ordered_result": _with(_LOG, _windows()) + f"""
+        SELECT row_number() OVER (ORDER BY window_start, merchant_id) - 1 AS position, {_COLUMNS} FROM windows""",
+    "column_audit": _with(_LOG, _VERSIONS) + ",stored AS (SELECT * FROM numbered WHERE n = 3) " + " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, '{t}' AS data_type, {t == 'bigint'} AS whole, count(*) AS rows,
+          count(*) - count({v}) AS nulls, min({v})::VARCHAR AS least, max({v})::VARCHAR AS greatest FROM stored"""
+        for c, t, v in [
+            *((c, "string", c) for c in ("aggregate_key", "merchant_id", "window_start", "window_end")),
+            ("transaction_count", "bigint", "transaction_count::BIGINT"),
+            ("total_amount_pyg", "bigint", "total_amount_pyg::BIGINT"), ("version", "bigint", '"offset"'),
+        ]
+    ),
     "bounded_read": _with(_LOG) + """
         SELECT "partition", "offset", merchant_id AS record_key FROM log
         ORDER BY "partition", "offset" LIMIT 1000""",

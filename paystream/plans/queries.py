@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +17,8 @@ from paystream.operators.aggregate_contract import check_aggregates
 from paystream.operators.contract import check_events
 from paystream.operators.datagen import EVENT_FIELDS, generate_events, sow_faults
 from paystream.operators.dedup import deduplicate, deduplicate_within
-from paystream.operators.latest import latest_per_key, reconcile, totals
+from paystream.operators.integrity import log_integrity, strayed_keys
+from paystream.operators.latest import column_audit, latest_per_key, reconcile, totals
 from paystream.operators.route import (
     confirmed,
     dead_letters,
@@ -41,6 +43,8 @@ from paystream.plans.payments import (
 )
 from paystream.schemas import AGGREGATE_COLUMNS
 from paystream.session import stream_session, work_dir
+from paystream.sources.ordered import read_ordered, write_ordered
+from paystream.sources.progress import committed_offsets
 from paystream.sources.records import bounded, keyed_records, log_writer, read_log, write_log
 from paystream.sources.table import (
     create_table,
@@ -54,6 +58,7 @@ from paystream.streaming.exact import deduplicate_exactly, pane_stream, with_eve
 from paystream.streaming.fast import (
     PAYMENT_COLUMNS,
     aggregate_stream,
+    confirmed_payments,
     dead_letter_stream,
     deduplicate_stream,
     table_writer,
@@ -329,6 +334,75 @@ def lag_per_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return consumer_lag(end_offsets(payment_log(spark, sf_dir)), done)
 
 
+def stream_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a stream still has to fetch, by its checkpoint: it fails in the third of three steps."""
+    log = payment_log(spark, sf_dir)
+    end = log.agg(F.max("offset").alias("end"))
+    replay = Replay(spark, "lag")
+    steps = [(0, "floor(end / 3)"), ("floor(end / 3)", "floor(end / 3) * 2"), ("floor(end / 3) * 2", "end + 1")]
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        if batch_id == 2:
+            raise RuntimeError("stopped midway")
+        batch.write.parquet(f"{replay.output}/{batch_id}")
+
+    try:
+        replay.run(
+            [log.join(F.broadcast(end), F.expr(f"offset >= {a} and offset < {b}")).drop("end") for a, b in steps],
+            lambda records, _, checkpoint: confirmed_payments(records).writeStream.foreachBatch(store)
+            .option("checkpointLocation", checkpoint),
+        )
+    except StreamingQueryException as error:
+        if "stopped midway" not in str(error):
+            raise
+    else:
+        raise AssertionError("the third step did not fail")
+    done = committed_offsets(spark, replay.checkpoint, replay.input)
+    return consumer_lag(end_offsets(read_log(spark, replay.input)), done)
+
+
+#: Offsets with a record too many, and those dated back by an hour.
+REPEATED_OFFSET, DATED_BACK = 31, 37
+
+
+def _faulty_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log with repeated offsets and steps back in time."""
+    offset = F.col("offset")
+    back = F.when(offset % DATED_BACK == 0, F.expr("timestamp - INTERVAL 1 HOUR")).otherwise(F.col("timestamp"))
+    log = payment_log(spark, sf_dir).withColumn("timestamp", back)
+    return log.union(log.filter(offset % REPEATED_OFFSET == 0))
+
+
+def integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeats, gaps and inversions of each partition."""
+    return log_integrity(_faulty_log(spark, sf_dir), block=4096)
+
+
+def stray_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A thousand keys for each merchant, of which a few have records in the next partition."""
+    offset = F.col("offset")
+    strays = (offset % 3000 == 7) | (offset % 5000 == 1008)
+    log = payment_log(spark, sf_dir).select(
+        "topic", F.concat(F.col("key").cast("string"), F.lit("/"), offset % 1000).alias("key"),
+        ((F.col("partition") + strays.cast("int")) % 3).alias("partition"),
+    )
+    return strayed_keys(log).withColumnRenamed("key", "record_key")
+
+
+def ordered_result(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The aggregates by window and merchant, stored in that order and read with their positions."""
+    path = work_dir(spark, "ordered")
+    write_ordered(window_agg_60s(spark, sf_dir), path, ["window_start", "merchant_id"])
+    return read_ordered(spark, path)
+
+
+def column_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types and bounds of the stored table's columns, by its files."""
+    path = work_dir(spark, "audit")
+    materialize(_aggregate_log(spark, sf_dir).filter(F.col("n") == 3), path, "audit", 0)
+    return column_audit(spark.read.parquet(f"{path}/run=audit/batch_id=0").drop("window_date"))
+
+
 def bounded_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first records of the log, as for a trial run."""
     log = bounded(payment_log(spark, sf_dir), FEATURE_LIMIT)
@@ -632,6 +706,11 @@ QUERIES: dict[str, Query] = {
     "stage_accounting": stage_accounting,
     "partition_offsets": partition_offsets,
     "consumer_lag": lag_per_partition,
+    "stream_lag": stream_lag,
+    "log_integrity": integrity,
+    "strayed_keys": stray_keys,
+    "ordered_result": ordered_result,
+    "column_audit": column_facts,
     "bounded_read": bounded_read,
     "record_log": record_log,
     "generated_events": generated_events,

@@ -35,6 +35,14 @@ class Replay:
     def output(self) -> str:
         return f"{self.base}/output"
 
+    @property
+    def input(self) -> str:
+        return f"{self.base}/input/*"
+
+    @property
+    def checkpoint(self) -> str:
+        return f"{self.base}/checkpoint"
+
     def _arrive(self, rows: DataFrame, number: int) -> None:
         staged = f"{self.base}/staged-{number}"
         rows.write.parquet(staged)
@@ -57,8 +65,8 @@ class Replay:
             for number, rows in enumerate(steps):
                 self._arrive(rows, number)
                 if query is None:
-                    stream = self.session.readStream.schema(rows.schema).parquet(f"{self.base}/input/*")
-                    query = start(stream, self.output, f"{self.base}/checkpoint").start()
+                    stream = self.session.readStream.schema(rows.schema).parquet(self.input)
+                    query = start(stream, self.output, self.checkpoint).start()
                 query.processAllAvailable()
                 self.progress.append([p for p in query.recentProgress if p["batchId"] > seen])
                 seen = max([seen, *(p["batchId"] for p in self.progress[-1])])
