@@ -52,7 +52,7 @@ def _paths(texts: list[bytes], window: int) -> tuple[np.ndarray, ...]:
     return words, doc[first], place[first], first, run_hashes(words, window)[first]
 
 
-def prefix_counts(docs: DataFrame, window: int) -> np.ndarray:
+def prefix_counts(docs: DataFrame, window: int, task_bytes: int = _TASK_BYTES) -> np.ndarray:
     """How many suffixes begin with a prefix of each length, by hash of the prefix, over all texts.
 
     The table has a fixed size, whatever the input; each task sends one.
@@ -60,7 +60,7 @@ def prefix_counts(docs: DataFrame, window: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros((len(DEPTHS), _BINS), "i8")
-        for _, texts in text_groups(batches, _TASK_BYTES):
+        for _, texts in text_groups(batches, task_bytes):
             words, _, _, first, _ = _paths(texts, window)
             for k, depth in enumerate(DEPTHS):
                 if depth < window and len(first):
@@ -149,7 +149,9 @@ def _by_block(ids, tags, doc, place, blocks: int, press) -> Iterator[tuple[int,
         yield int(block[part[0]]), _pack(ids, tags, doc[part], place[part], press)
 
 
-def suffixes(docs: DataFrame, window: int, counts: np.ndarray, quota: int, groups: int, blocks: int) -> DataFrame:
+def suffixes(
+    docs: DataFrame, window: int, counts: np.ndarray, quota: int, groups: int, blocks: int, task_bytes: int = _TASK_BYTES
+) -> DataFrame:
     """Suffixes of all texts by group: grp, block, paths, places.
 
     Rows with a block are repeats already: another document of the same task has the path and a
@@ -158,7 +160,7 @@ def suffixes(docs: DataFrame, window: int, counts: np.ndarray, quota: int, group
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(1)
-        for ids, texts in text_groups(batches, _TASK_BYTES):
+        for ids, texts in text_groups(batches, task_bytes):
             names = np.array([_NO_ID if x is None else x for x in ids], "i8")
             tags = _tags(texts)
             words, doc, place, first, paths = _paths(texts, window)
@@ -249,7 +251,7 @@ def _blocks_of(docs: DataFrame, window: int, blocks: int) -> DataFrame:
 
 def deduplicate(
     docs: DataFrame, window: int = 13, group_suffixes: int = 1_000_000, block_words: int = 2_000_000, with_text: bool = True,
-    carry: tuple[str, ...] = (),
+    carry: tuple[str, ...] = (), task_bytes: int = _TASK_BYTES,
 ) -> DataFrame:
     """Remove the words of every run of ``window`` words that also starts in a document with a smaller id.
 
@@ -262,16 +264,16 @@ def deduplicate(
     others and takes nothing from other null ids. Rows that repeat an id are documents of their
     own that take nothing from each other (they are told apart by a 64-bit hash of the text, and
     rows of equal id and text have equal results). An empty table gives no rows. The columns to ``carry`` come along unchanged, other
-    ones are ignored.
+    ones are ignored. A worker takes ``task_bytes`` of text at a time, at some 60 bytes of memory for each.
     """
     bare = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carry)
     own = bare.select("doc_id", "text")
     spark = docs.sparkSession
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counts = prefix_counts(own, window)
+    counts = prefix_counts(own, window, task_bytes)
     total = int(counts[0].sum())
     groups, blocks = max(least, -(-total // group_suffixes)), max(least, -(-total // block_words))
-    found = repeats(suffixes(own, window, counts, group_suffixes // 4, groups, blocks), blocks)
+    found = repeats(suffixes(own, window, counts, group_suffixes // 4, groups, blocks, task_bytes), blocks)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         places: dict[tuple[int, int], list[np.ndarray]] = {}
