@@ -20,6 +20,8 @@ from paystream.session import work_dir
 TOXIC = 0.7
 #: Words in a row that a repeated passage has at least.
 PASSAGE = 50
+#: Bytes of text that a worker looks for repeats in at once; the JVM is at its largest by then.
+REPEAT_BYTES = 2_000_000
 
 
 def documents(frame: DataFrame) -> DataFrame:
@@ -54,7 +56,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that a document with a smaller id has."""
     rows = documents(docs)
-    left = substring.deduplicate(rows, window=PASSAGE, carry=("lang", "source"))
+    left = substring.deduplicate(rows, window=PASSAGE, carry=("lang", "source"), task_bytes=REPEAT_BYTES)
     return documents(left.withColumn("n_chars", F.length("text")))
 
 
