@@ -90,15 +90,20 @@ def run_bounded(logs: Logs, args: argparse.Namespace) -> None:
     logs.write(read_letters(logs.spark, path), args.dlq_topic)
 
 
+def start_routing(logs: Logs, args: argparse.Namespace):
+    """The query that reads and parses the topic, alone; it goes on from its own checkpoint."""
+    records = logs.read(args.input_topic, True, EVENTS_GROUP)
+    return route_writer(records, f"{args.checkpoint}/routed", f"{args.checkpoint}/route").start()
+
+
 def start_streams(logs: Logs, args: argparse.Namespace) -> list:
     """One query reads and parses the topic; one for each output goes on from there.
 
     What the first one has committed both others will read, exactly once, however often any of
     them is stopped; none waits for another.
     """
-    records = logs.read(args.input_topic, True, EVENTS_GROUP)
     path = f"{args.checkpoint}/routed"
-    first = route_writer(records, path, f"{args.checkpoint}/route").start()
+    first = start_routing(logs, args)
     payments = read_payments(logs.spark, path, True, args.bytes_per_batch)
     if args.exact:
         rows = serialize_aggregates(pane_payments(payments), "pane_index")

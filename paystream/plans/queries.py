@@ -595,10 +595,9 @@ def job_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     args = run_stream.parse_args(["--path", f"{base}/logs", "--checkpoint", f"{base}/checkpoint"])
     logs = run_stream.Logs(session, args)
     write_log(payment_log(spark, sf_dir), f"{base}/logs/{EVENTS_TOPIC}")
-    queries = run_stream.start_streams(logs, args)
-    queries[0].processAllAvailable()
-    for running in queries:
-        running.stop()
+    routing = run_stream.start_routing(logs, args)
+    routing.processAllAvailable()
+    routing.stop()
     queries = run_stream.start_streams(logs, args)
     for step in range(2):
         for running in queries:
