@@ -262,7 +262,7 @@ def latest_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three batches into the table, the second one twice, the last one oldest."""
-    log = _aggregate_log(spark, sf_dir)
+    log = _stored(_aggregate_log(spark, sf_dir), "log")
     path = work_dir(spark, "table")
     create_table(spark, path)
     for batch_id, n in enumerate([2, 3, 3, 1]):
@@ -289,7 +289,7 @@ def upsert_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     The second run meets broken records and must leave everything as it was.
     """
     columns = ["key", "value", "topic", "partition", "offset", "timestamp"]
-    log = _aggregate_log(spark, sf_dir).select(*columns)
+    log = _stored(_aggregate_log(spark, sf_dir).select(*columns), "log")
     path = work_dir(spark, "resume")
     create_table(spark, path)
     part = log.count() // 3
@@ -312,7 +312,7 @@ def reconcile_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table that misses some rows, has others extra and some out of date, against its log."""
     versions = check_aggregates(_aggregate_log(spark, sf_dir)).select(
         *AGGREGATE_COLUMNS, "offset", "minute", "n"
-    )
+    ), "versions")
     minute = F.col("minute")
     table = latest_per_key(
         versions.filter((minute % 5 != 1) & ((minute % 5 != 2) | (F.col("n") < 3)))
