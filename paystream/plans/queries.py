@@ -63,7 +63,7 @@ from paystream.streaming.fast import (
     deduplicate_stream,
     table_writer,
 )
-from paystream.streaming.replay import Replay
+from paystream.streaming.replay import STEP, Replay, arriving
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -276,10 +276,7 @@ def upsert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = _aggregate_log(spark, sf_dir)
     columns = ["key", "value", "topic", "partition", "offset", "timestamp"]
     replay = Replay(spark, "upsert")
-    replay.run(
-        (log.filter(F.col("n") == n).select(*columns) for n in (1, 2, 3)),
-        table_writer,
-    )
+    replay.run_numbered(log.select(*columns, (F.col("n") - 1).alias(STEP)), 3, table_writer)
     return current_rows(spark, replay.output)
 
 
