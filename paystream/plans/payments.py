@@ -39,13 +39,19 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per event with the values of a payment: no faults, no copies.
-
-    Times are compressed sixtyfold, as the table has only about one event per minute and user.
-    """
+def _event_ts() -> Column:
+    """Times are compressed sixtyfold, as the table has only about one event per minute and user."""
     origin = f"unix_micros(timestamp '{ORIGIN}')"
-    event_us = f"{origin} + (unix_micros(cast(ts as timestamp)) - {origin}) div 60"
+    return F.timestamp_micros(F.expr(f"{origin} + (unix_micros(cast(ts as timestamp)) - {origin}) div 60"))
+
+
+def last_instant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest ``event_ts``, one row; only the times are read."""
+    return load(spark, sf_dir, "events").agg(F.max(_event_ts()).alias("event_ts"))
+
+
+def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per event with the values of a payment: no faults, no copies."""
     i = F.col("event_id")
     status = (
         F.when(F.col("event_type") == "view", "PENDING")
@@ -62,7 +68,7 @@ def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(
         i.alias("i"),
         F.concat(F.lit("evt-"), i).alias("event_id"),
-        F.timestamp_micros(F.expr(event_us)).alias("event_ts"),
+        _event_ts().alias("event_ts"),
         F.concat(F.lit("merchant-"), F.lpad((F.col("user_id") % 3 + 1).cast("string"), 3, "0"))
         .alias("merchant_id"),
         F.concat(F.lit("account-"), F.lpad((F.col("user_id") % 10 + 1).cast("string"), 3, "0"))

@@ -36,6 +36,7 @@ from paystream.plans.payments import (
     COPY_DELAY,
     COPY_EVERY,
     big_log,
+    last_instant,
     load,
     payment_log,
     raw_payments,
@@ -473,8 +474,8 @@ def _late() -> Column:
 
 def _tick_record(spark: SparkSession, sf_dir: str, seconds: int) -> DataFrame:
     """A valid event of a merchant of its own, some time after all others: moves the clock."""
-    end = raw_payments(spark, sf_dir).agg(
-        F.timestamp_micros(F.unix_micros(F.max("event_ts")) + seconds * 1_000_000).alias("ts")
+    end = last_instant(spark, sf_dir).select(
+        F.timestamp_micros(F.unix_micros("event_ts") + seconds * 1_000_000).alias("ts")
     )
     text = F.concat(
         F.lit('{"schema_version":1,"event_id":"tick-'), F.lit(str(seconds)),
@@ -574,7 +575,7 @@ def window_agg_stream_update(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     half = F.floor(F.col("offset") / 2) % 2
-    replay.run((log.filter(half == rest) for rest in (0, 1)), start)
+    replay.run_numbered(arriving(log, {rest: half == rest for rest in (0, 1)}), 2, start)
     many = stored_versions(spark, replay.output).groupBy("aggregate_key").agg(
         F.count(F.lit(1)).alias("versions")
     )
@@ -670,13 +671,11 @@ def dedup_stream_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _payments(spark, sf_dir)
     original = F.col("offset") % 2 == 0
     replay = Replay(spark, "dedup")
-    replay.run(
-        [
-            rows.filter(original),
-            rows.filter(~original),
-            _tick(spark, sf_dir, 2 * LONG_SECONDS),
-            rows.filter(~original),
-        ],
+    steps = arriving(rows, {0: original, 1: ~original, 3: ~original}).unionByName(
+        _tick(last_instant(spark, sf_dir), 2 * LONG_SECONDS).withColumn(STEP, F.lit(2))
+    )
+    replay.run_numbered(
+        steps, 4,
         lambda stream, out, checkpoint: log_writer(
             deduplicate_exactly(with_event_clock(stream), config), out, checkpoint
         ),
