@@ -77,7 +77,6 @@ def _micros_text(ts: str) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
-def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stored(rows: DataFrame, name: str) -> DataFrame:
     """The rows written to a work table and read from there: worked out once, however often they are read."""
     path = work_dir(rows.sparkSession, name)
@@ -85,6 +84,7 @@ def _stored(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_events(payment_log(spark, sf_dir))
 
 
@@ -308,7 +308,7 @@ def upsert_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reconcile_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table that misses some rows, has others extra and some out of date, against its log."""
-    versions = check_aggregates(_aggregate_log(spark, sf_dir)).select(
+    versions = _stored(check_aggregates(_aggregate_log(spark, sf_dir)).select(
         *AGGREGATE_COLUMNS, "offset", "minute", "n"
     ), "versions")
     minute = F.col("minute")
@@ -495,12 +495,9 @@ def _run_late_log(spark: SparkSession, sf_dir: str) -> Replay:
     log = payment_log(spark, sf_dir)
     late = _late()
     replay = Replay(spark, "windows")
-    replay.run(
-        [
-            log.filter(~late),
-            _tick_record(spark, sf_dir, 600),
-            log.filter(late),
-        ],
+    steps = arriving(log, {0: ~late, 2: late}).unionByName(_tick_record(spark, sf_dir, 600).withColumn(STEP, F.lit(1)))
+    replay.run_numbered(
+        steps, 3,
         lambda stream, out, checkpoint: log_writer(
             to_table_types(aggregate_stream(stream)), out, checkpoint
         ),
@@ -536,16 +533,14 @@ def lateness_default(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rows = _payments(spark, sf_dir).withColumn("event_ts", at(source % 180))
 
-    def tick(after: int) -> DataFrame:
-        return _tick(spark, sf_dir, after).withColumn("event_ts", at(F.lit(180 + after)))
-
-    step = F.col("offset") % 11
-    steps = [rows.filter(~step.isin(1, 2, 3, 4))]
-    for number, after in enumerate((119, 120, 121, 170), 1):
-        steps += [tick(after), rows.filter(step == number)]
+    rest = F.col("offset") % 11
+    steps = arriving(rows, {0: ~rest.isin(1, 2, 3, 4), **{2 * n: rest == n for n in (1, 2, 3, 4)}})
+    for number, after in enumerate((119, 120, 121, 170, 600)):
+        tick = _tick(spark.range(1).select(at(F.lit(180)).alias("event_ts")), after)
+        steps = steps.unionByName(tick.withColumn(STEP, F.lit(2 * number + 1)))
     replay = Replay(spark, "lateness")
-    replay.run(
-        [*steps, tick(600)],
+    replay.run_numbered(
+        steps, 10,
         lambda stream, out, checkpoint: log_writer(
             to_table_types(label_windows(aggregate_windows(deduplicate_stream(stream)))), out, checkpoint
         ),
@@ -623,10 +618,10 @@ def _payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _confirmed(spark, sf_dir).select(*PAYMENT_COLUMNS)
 
 
-def _tick(spark: SparkSession, sf_dir: str, seconds: int) -> DataFrame:
-    return raw_payments(spark, sf_dir).agg(
-        F.timestamp_micros(F.unix_micros(F.max("event_ts")) + seconds * 1_000_000)
-        .alias("event_ts")
+def _tick(last: DataFrame, seconds: int) -> DataFrame:
+    """A payment of a merchant of its own, some time after the ``event_ts`` of ``last``."""
+    return last.select(
+        F.timestamp_micros(F.unix_micros("event_ts") + seconds * 1_000_000).alias("event_ts")
     ).select(
         F.lit(f"{TICK}-{seconds}").alias("event_id"), "event_ts",
         F.lit(TICK).alias("merchant_id"), F.lit(1).cast("bigint").alias("amount"),
