@@ -270,7 +270,7 @@ def test_passages_of_long_items(docs, spark):
     assert {r.doc_id: r.end - r.start for r in found} == {0: 29, 1: 200, 2: 39, 3: 25}
 
 
-def edited(words, every, kind):
+def edited_every(words, every, kind):
     """``words`` with each ``every``-th one replaced or deleted, or one inserted after it."""
     out = []
     for k, w in enumerate(words):
@@ -290,7 +290,7 @@ def test_all_copies_of_all_items(docs, spark):
     for i, words in items.items():
         for kind in ("insert", "replace", "delete"):
             for every in (1, 2, 3, 4, 5, 101):
-                copy = edited(words, every, kind)
+                copy = edited_every(words, every, kind)
                 rows += [(len(rows), " ".join([*draw(random.choice([0, 30])), *copy, *draw(random.choice([0, 80]))]))]
                 if every == 3:  # the same copy in many texts
                     rows += [(len(rows) + k, " ".join(draw(20) + copy)) for k in range(12)]
